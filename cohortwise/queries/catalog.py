@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from cohortwise.queries import profiles, tables  # noqa: F401  (imported to register)
+from cohortwise.queries import derived, fills, profiles, tables  # noqa: F401  (imported to register)
 from cohortwise.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -21,6 +21,7 @@ def local_session(app: str = "cohortwise", cores: str | int = 8, shuffle_partiti
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,7 +62,7 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` in bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(spark: SparkSession) -> int:
