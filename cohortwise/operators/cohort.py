@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.functions.bins import cut, quantile_edges
@@ -43,15 +43,15 @@ def cohort_rates(df: DataFrame, features: dict[str, Column] | Sequence[str], lab
     per_value = long.groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("total"), F.coalesce(F.sum("__y"), F.lit(0)).cast("bigint").alias("positives")
     )
-    # One row per (feature, value) is left here, so the window is small.
-    whole = Window.partitionBy("feature")
     real = F.col("value").isNotNull()
-    with_value = F.sum(F.when(real, F.col("total")).otherwise(0)).over(whole)
-    missing = F.sum(F.when(~real, F.col("total")).otherwise(0)).over(whole)
+    # One row per listed feature, so broadcasting it is safe.
+    totals = per_value.groupBy("feature").agg(
+        F.sum(F.when(real, F.col("total")).otherwise(0)).alias("__with"),
+        F.sum(F.when(~real, F.col("total")).otherwise(0)).alias("missing"),
+    )
     return (
-        per_value.withColumn("__with", with_value)
-        .withColumn("missing", missing)
-        .filter(real)
+        per_value.filter(real)
+        .join(F.broadcast(totals), "feature")
         .select(
             "feature",
             "value",

@@ -8,63 +8,68 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.session import broadcast_limit, plan_bytes
+from cohortwise.session import broadcast_limit, materialize, plan_bytes
 
 # A key is hot when it holds more than 1/HOT_PARTS of the counted rows, so
 # there are fewer than HOT_PARTS hot keys whatever the table size.
 HOT_PARTS = 1000
 SALTS = 64
+# Most rows a broadcast table may have, next to the session's byte limit.
+BROADCAST_ROWS = 200_000
 
 
 def _equal(left: str, right: str, null_safe: bool) -> Column:
     return F.col(left).eqNullSafe(F.col(right)) if null_safe else F.col(left) == F.col(right)
 
 
+def fits_broadcast(table: DataFrame, count: int | None = None) -> bool:
+    """Whether a table may be broadcast: the optimizer's size estimate is below
+    the session's limit, and so is the counted number of rows."""
+    limit = broadcast_limit(table.sparkSession)
+    if limit <= 0 or plan_bytes(table) > limit:
+        return False
+    if count is None:
+        count = table.limit(BROADCAST_ROWS + 1).count()
+    return count <= BROADCAST_ROWS
+
+
 def attach(
     df: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
     rows: str | None = None,
     null_safe: bool = False,
+    count: int | None = None,
 ) -> DataFrame:
     """Left-join a table with unique ``keys`` onto ``df``.
 
-    A table below the session's broadcast limit is broadcast. A larger one is
-    joined by shuffle; if it carries a row count per key (column ``rows``), the
-    few hot keys are spread over ``SALTS`` partitions, the rest are left to
-    adaptive execution. ``rows`` is dropped from the result.
+    A table small enough is broadcast. A larger one is joined by shuffle, with
+    the hot keys spread over ``SALTS`` partitions. Which keys are hot is read
+    from the row count per key in column ``rows`` of the table (dropped from
+    the result), or else counted on ``df``.
     """
-    renamed = table.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        *[c for c in table.columns if c not in keys and c != rows],
-    )
-    on = [_equal(k, f"__{k}", null_safe) for k in keys]
-    drop = [f"__{k}" for k in keys]
-    limit = broadcast_limit(df.sparkSession)
-    if limit > 0 and plan_bytes(table) <= limit:
-        return df.join(F.broadcast(renamed), on, "left").drop(*drop)
-    if rows is None:
-        return df.join(renamed, on, "left").drop(*drop)
-    return _attach_salted(df, table, keys, rows, null_safe)
-
-
-def _attach_salted(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: str, null_safe: bool) -> DataFrame:
-    total = table.agg(F.sum(rows)).first()[0] or 0
-    hot = F.col(rows) * HOT_PARTS > F.lit(total)
-    hot_keys = table.filter(hot).select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
-    flagged = (
-        df.join(F.broadcast(hot_keys), [_equal(k, f"__h_{k}", null_safe) for k in keys], "left")
-        .withColumn("__salt", salt)
-        .drop("__hot", *[f"__h_{k}" for k in keys])
-    )
-    copies = F.when(hot, F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).otherwise(
-        F.array(F.lit(0).cast("bigint"))
+    carried = [c for c in table.columns if c not in keys and c != rows]
+    if fits_broadcast(table, count):
+        renamed = table.select(*[F.col(k).alias(f"__{k}") for k in keys], *carried)
+        on = [_equal(k, f"__{k}", null_safe) for k in keys]
+        return df.join(F.broadcast(renamed), on, "left").drop(*[f"__{k}" for k in keys])
+    counts = table.select(*keys, F.col(rows).alias("__rows")) if rows else df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__rows")
     )
-    spread = table.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        *[c for c in table.columns if c not in keys and c != rows],
-        F.explode(copies).alias("__copy"),
+    total = (counts.agg(F.sum("__rows")).first()[0] if rows else df.count()) or 0
+    # Fewer than HOT_PARTS keys can pass this filter.
+    hot = counts.filter(F.col("__rows") * HOT_PARTS > F.lit(total))
+    hot = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
+    if not rows:
+        hot = materialize(hot, "hot-keys")
+    to_hot = [_equal(k, f"__h_{k}", null_safe) for k in keys]
+    hot_columns = ["__hot", *[f"__h_{k}" for k in keys]]
+    zero = F.lit(0).cast("bigint")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))).otherwise(zero)
+    flagged = df.join(F.broadcast(hot), to_hot, "left").withColumn("__salt", salt).drop(*hot_columns)
+    copies = F.when(F.col("__hot"), F.sequence(zero, F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(zero))
+    spread = table.join(F.broadcast(hot), to_hot, "left").select(
+        *[F.col(k).alias(f"__{k}") for k in keys], *carried, F.explode(copies).alias("__copy")
     )
     on = [_equal(k, f"__{k}", null_safe) for k in keys] + [F.col("__salt") == F.col("__copy")]
     return flagged.join(spread, on, "left").drop("__salt", "__copy", *[f"__{k}" for k in keys])
@@ -86,7 +91,8 @@ def mark_members(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: s
 
 def keep_members(df: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``members`` (semi-join)."""
-    return df.join(members.select(*keys), list(keys), "left_semi")
+    marked = mark_members(df, members.select(*keys).distinct(), keys, "__member")
+    return marked.filter(F.col("__member") == 1).drop("__member")
 
 
 def all_present(columns: Sequence[str]) -> Column:

@@ -22,6 +22,7 @@ def running_totals(
     order: Sequence[Column],
     sums: dict[str, Column],
     slice_by: Column | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Add inclusive running totals ``sums`` per ``keys`` along ``order``.
 
@@ -46,7 +47,7 @@ def running_totals(
     )
     within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = sliced.withColumns({f"__l_{n}": F.sum(c).over(within) for n, c in sums.items()})
-    joined = attach(local, offsets, group)
+    joined = attach(local, offsets, group, null_safe=null_safe)
     return joined.withColumns({n: F.col(f"__l_{n}") + F.col(f"__o_{n}") for n in sums}).drop(
         "__slice", *[f"__l_{n}" for n in sums], *[f"__o_{n}" for n in sums]
     )

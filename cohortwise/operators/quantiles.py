@@ -15,9 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwise.operators.joins import all_present, attach
+from cohortwise.operators.prefix import running_totals
 from cohortwise.session import materialize
 
 ACCURACY = 10000
+SLICES = 256
+# Up to this many rows per group, what is left of a group is summed in one task.
+ONE_TASK_ROWS = 50_000_000
 
 
 def no_nan(column: Column) -> Column:
@@ -26,6 +30,18 @@ def no_nan(column: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _slice(at: Column, small: Column, brackets: int) -> Column:
+    """A number that grows with ``at``: the last bracket it has reached and,
+    within the bracket, one of SLICES equal steps."""
+    result = F.lit(-1)
+    for i in range(brackets):
+        low, high = F.col("__points")[2 * i], F.col("__points")[2 * i + 1]
+        step = F.coalesce(F.floor(F.try_divide(at - low, high - low) * (SLICES - 1)), F.lit(0))
+        within = F.least(F.greatest(step, F.lit(0)), F.lit(SLICES - 1))
+        result = F.when(at >= low, within + i * SLICES).otherwise(result)
+    return F.when(small, F.lit(0)).otherwise(result).cast("int")
+
+
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,11 +50,13 @@ def grouped_quantiles(
     accuracy: int = ACCURACY,
     keep_null_keys: bool = False,
     rows: str = "n",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """One row per key with the non-null count and linearly interpolated quantiles.
 
     ``probs`` maps output names to probabilities. Groups without any value do
-    not appear. Rows with a null key are skipped unless ``keep_null_keys``.
+    not appear. Rows with a null key are skipped unless ``keep_null_keys``. The
+    order of ``probs`` must be ascending.
     """
     keys = list(keys)
     values = df.select(*keys, no_nan(F.col(value)).alias("__v")).filter(F.col("__v").isNotNull())
@@ -57,8 +75,9 @@ def grouped_quantiles(
         ),
         "brackets",
     )
+    size = sketch.agg(F.count(F.lit(1)).alias("groups"), F.max("__n").alias("largest")).first()
     sketch = sketch.withColumn("__rows", F.col("__n"))
-    banded = attach(values, sketch, group, rows="__rows", null_safe=keep_null_keys)
+    banded = attach(values, sketch, group, rows="__rows", null_safe=keep_null_keys, count=size["groups"])
 
     # A group of a few sketch widths is kept whole: the sketch's rank slack is
     # below one row there.
@@ -69,20 +88,20 @@ def grouped_quantiles(
         low, high = F.col("__points")[2 * i], F.col("__points")[2 * i + 1]
         inside = inside | F.col("__v").between(low, high)
         floor_hits.append(F.when(high < F.col("__v"), high))
+    at = F.when(inside, F.col("__v")).otherwise(F.greatest(*floor_hits))
     counted = (
-        banded.select(
-            *group,
-            "__n",
-            F.when(inside, F.col("__v")).otherwise(F.greatest(*floor_hits)).alias("__at"),
-            (~inside).alias("__gap"),
-        )
-        .groupBy(*group, "__n", "__at", "__gap")
+        banded.select(*group, "__n", at.alias("__at"), (~inside).alias("__gap"), _slice(at, small, len(probs)).alias("__slice"))
+        .groupBy(*group, "__n", "__slice", "__at", "__gap")
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    order = Window.partitionBy(*group).orderBy(F.col("__at").asc_nulls_first(), "__gap")
-    running = counted.withColumn(
-        "__cum", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
+    order = [F.col("__at").asc_nulls_first(), F.col("__gap")]
+    if (size["largest"] or 0) <= one_task_rows:
+        window = Window.partitionBy(*group).orderBy(*order)
+        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = counted.withColumn("__cum", F.sum("__c").over(upto))
+    else:
+        kept = materialize(counted, "candidates")
+        running = running_totals(kept, group, order, {"__cum": F.col("__c")}, F.col("__slice"), keep_null_keys)
     picks = []
     for i, p in enumerate(probs.values()):
         position = F.lit(float(p)) * (F.col("__n") - 1)
