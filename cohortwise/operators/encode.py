@@ -21,9 +21,11 @@ def onehot_name(column: str, value) -> str:
 
 def onehot_fixed(df: DataFrame, categories: dict[str, Sequence]) -> DataFrame:
     """A 0/1 column per listed category; a null value is 0 everywhere."""
+    types = dict(df.dtypes)
+    as_text = {c: F.col(c) if types[c] == "string" else F.col(c).cast("string") for c in categories}
     return df.withColumns(
         {
-            onehot_name(c, v): F.coalesce((F.col(c).cast("string") == str(v)).cast("int"), F.lit(0))
+            onehot_name(c, v): F.when(as_text[c] == str(v), 1).otherwise(0)
             for c, values in categories.items()
             for v in values
         }

@@ -8,9 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.functions.bins import merge_equal_edges, cut
 from cohortwise.operators.profile import numeric_columns
 from cohortwise.operators.quantiles import grouped_quantiles, no_nan
+from cohortwise.session import materialize
+
+
+def long_form(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
+    """Rows ``(feature, x)``, with the label as ``__y`` if asked for."""
+    kept = [F.col(label).alias("__y")] if label else []
+    values = [no_nan(F.col(f"`{c}`")).alias(c) for c in features]
+    ids = ["__y"] if label else []
+    return df.select(*kept, *values).unpivot(ids, [F.col(f"`{c}`") for c in features], "feature", "x")
 
 
 @dataclass
@@ -25,12 +33,11 @@ class Standardizer:
 
     def fit(self, df: DataFrame) -> Standardizer:
         columns = list(self.columns or numeric_columns(df))
-        clean = {c: no_nan(F.col(f"`{c}`")) for c in columns}
-        row = df.agg(
-            *[F.avg(v).alias(f"m{i}") for i, v in enumerate(clean.values())],
-            *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(clean.values())],
-        ).first()
-        self.stats = {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
+        # Long form: one small aggregate whatever the number of columns.
+        long = long_form(df, columns)
+        rows = long.groupBy("feature").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")).collect()
+        found = {r["feature"]: (r["mean"] or 0.0, r["std"] or 1.0) for r in rows}
+        self.stats = {c: found.get(c, (0.0, 1.0)) for c in columns}
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -43,9 +50,7 @@ class Standardizer:
 
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Between-to-within variance ratio of each feature over the label classes."""
-    long = df.select(F.col(label).alias("__y"), *[no_nan(F.col(f"`{c}`")).alias(c) for c in features]).unpivot(
-        ["__y"], list(features), "feature", "x"
-    )
+    long = long_form(df, features, label)
     per_class = (
         long.filter(F.col("x").isNotNull() & F.col("__y").isNotNull())
         .groupBy("feature", "__y")
@@ -65,31 +70,19 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins: int = 10) -> DataFrame:
     """Mutual information (nats) between the label and each feature cut at its quantiles."""
-    names = {f"q{i}": i / bins for i in range(bins + 1)}
-    long = df.select(F.col(label).alias("__y"), *[no_nan(F.col(f"`{c}`")).alias(c) for c in features]).unpivot(
-        ["__y"], list(features), "feature", "x"
-    )
-    edges = {}
-    for row in grouped_quantiles(long, ["feature"], "x", names).collect():  # one row per feature
-        edges[row["feature"]] = [row[n] for n in names]
-    binned = []
-    for c in features:
-        values = edges.get(c)
-        if values is None:
-            continue
-        if values[0] == values[-1]:
-            binned.append(F.when(F.col(f"`{c}`").isNotNull(), 0).alias(c))
-        else:
-            kept, codes = merge_equal_edges(values, range(bins))
-            binned.append(cut(F.col(f"`{c}`"), kept, codes, right=True, include_lowest=True).alias(c))
-    present = [c for c in features if c in edges]
+    names = {f"q{i}": i / bins for i in range(1, bins)}
+    long = long_form(df, features, label).filter(F.col("x").isNotNull() & F.col("__y").isNotNull())
+    cuts = grouped_quantiles(long, ["feature"], "x", names)
+    # One row per listed feature, so broadcasting it is safe.
+    cuts = materialize(cuts.select("feature", F.array(*names).alias("cuts")), "cuts")
+    # A value's bin is the number of distinct inner cut points below it.
+    below = F.size(F.filter(F.array_distinct("cuts"), lambda edge: edge < F.col("x")))
     cells = (
-        df.select(F.col(label).alias("__y"), *binned)
-        .unpivot(["__y"], present, "feature", "bin")
-        .filter(F.col("bin").isNotNull() & F.col("__y").isNotNull())
-        .groupBy("feature", "bin", "__y")
+        long.join(F.broadcast(cuts), "feature")
+        .groupBy("feature", below.alias("bin"), "__y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    cells = materialize(cells, "cells")
     # From here on the table has at most bins x classes rows per feature.
     by_bin = cells.groupBy("feature", "bin").agg(F.sum("n").alias("n_bin"))
     by_label = cells.groupBy("feature", "__y").agg(F.sum("n").alias("n_label"))

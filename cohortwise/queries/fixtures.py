@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwise.functions import text as X
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -75,6 +77,37 @@ def fx_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders told as passengers: customers are families, with names, tickets and
+    cabins spelled the way the feature sets read them."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    letters = F.translate(F.col("c_custkey").cast("string"), "0123456789", "abcdefghij")
+    title = X.mapped(
+        F.col("c_mktsegment"),
+        {"AUTOMOBILE": "Mr", "BUILDING": "Mrs", "FURNITURE": "Master", "HOUSEHOLD": "Miss", "MACHINERY": "Col"},
+    )
+    klass = F.least(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(3))
+    woman = F.col("c_nationkey") < 12
+    ticket = F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderkey").cast("string")).otherwise(
+        F.concat(F.col("o_orderstatus"), F.lit("/"), klass.cast("string"), F.lit(" "), F.col("o_orderkey").cast("string"))
+    )
+    cabin = F.concat(F.substring(F.lit("ABCDEFG"), (F.col("o_custkey") % 7 + 1).cast("int"), F.lit(1)), (F.col("o_custkey") % 130).cast("string"))
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("PassengerId"),
+        F.when(woman, (F.col("o_custkey") % 10 < 7).cast("int")).otherwise((F.col("o_custkey") % 10 < 2).cast("int")).alias("Survived"),
+        klass.alias("Pclass"),
+        F.concat(letters, F.lit(", "), title, F.lit(". "), F.col("c_name")).alias("Name"),
+        F.when(woman, "female").otherwise("male").alias("Sex"),
+        _gap("o_orderkey", 5, F.round(F.col("o_totalprice") / 6000, 1)).alias("Age"),
+        (F.col("o_custkey") % 4).cast("int").alias("SibSp"),
+        (F.col("o_custkey") % 3).cast("int").alias("Parch"),
+        ticket.alias("Ticket"),
+        _gap("o_orderkey", 11, F.abs("c_acctbal")).alias("Fare"),
+        F.when(F.col("o_orderstatus") == "F", cabin).alias("Cabin"),
+        _gap("o_orderkey", 97, F.translate("o_orderstatus", "FOP", "CQS")).alias("Embarked"),
+    )
+
+
 # Closed-form scores: per model the multipliers of order key and part key.
 MODELS = [("m1", 7, 3), ("m2", 5, 11), ("m3", 13, 2), ("m4", 3, 17), ("m5", 19, 5), ("m6", 11, 23)]
 

@@ -25,20 +25,21 @@ def skewed(spark):
 PROBS = {"q10": 0.1, "q25": 0.25, "q50": 0.5, "q90": 0.9}
 
 
-@pytest.mark.parametrize("accuracy,one_task", [(10000, 10**9), (20, 10**9), (20, 0), (200, 100)])
-def test_grouped_quantiles_match_pandas(skewed, accuracy, one_task):
+@pytest.mark.parametrize("direct,accuracy,one_task", [(10**9, 0, 0), (0, 10000, 10**9), (0, 20, 10**9), (0, 20, 0), (100, 200, 100)])
+def test_grouped_quantiles_match_pandas(skewed, direct, accuracy, one_task):
     pdf, df = skewed
-    got = grouped_quantiles(df, ["k"], "v", PROBS, accuracy=accuracy, one_task_rows=one_task).toPandas().set_index("k").sort_index()
+    got = grouped_quantiles(df, ["k"], "v", PROBS, direct_rows=direct, accuracy=accuracy, one_task_rows=one_task)
+    got = got.toPandas().set_index("k").sort_index()
     want = pdf.dropna().groupby("k")["v"]
     assert (got["n"] == want.count()).all()
     for name, p in PROBS.items():
         np.testing.assert_allclose(got[name], want.quantile(p), rtol=1e-12)
 
 
-@pytest.mark.parametrize("accuracy,one_task", [(10000, 10**9), (50, 0)])
-def test_global_quantiles_match_pandas(skewed, accuracy, one_task):
+@pytest.mark.parametrize("direct,accuracy,one_task", [(10**9, 0, 0), (0, 10000, 10**9), (0, 50, 0)])
+def test_global_quantiles_match_pandas(skewed, direct, accuracy, one_task):
     pdf, df = skewed
-    row = grouped_quantiles(df, [], "v", PROBS, accuracy=accuracy, one_task_rows=one_task).first()
+    row = grouped_quantiles(df, [], "v", PROBS, direct_rows=direct, accuracy=accuracy, one_task_rows=one_task).first()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(pdf["v"].quantile(p), rel=1e-12)
 
