@@ -74,9 +74,9 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
     long = long_form(df, features, label).filter(F.col("x").isNotNull() & F.col("__y").isNotNull())
     cuts = grouped_quantiles(long, ["feature"], "x", names)
     # One row per listed feature, so broadcasting it is safe.
-    cuts = materialize(cuts.select("feature", F.array(*names).alias("cuts")), "cuts")
+    cuts = materialize(cuts.select("feature", F.array_distinct(F.array(*names)).alias("cuts")), "cuts")
     # A value's bin is the number of distinct inner cut points below it.
-    below = F.size(F.filter(F.array_distinct("cuts"), lambda edge: edge < F.col("x")))
+    below = F.size(F.filter("cuts", lambda edge: edge < F.col("x")))
     cells = (
         long.join(F.broadcast(cuts), "feature")
         .groupBy("feature", below.alias("bin"), "__y")
