@@ -19,7 +19,7 @@ from cohortwise.models import zoo
 from cohortwise.models.frame import FEATURES, FOLD, LABEL, model_frame
 from cohortwise.operators.metrics import binary_metrics, roc_auc
 from cohortwise.operators.split import assign_folds
-from cohortwise.session import materialize
+from cohortwise.session import materialize, small_table
 
 log = logging.getLogger(__name__)
 
@@ -54,7 +54,7 @@ def summary(scores: Sequence[float]) -> dict[str, float]:
 def cv_table(spark: SparkSession, scores: dict[str, Sequence[float]]) -> DataFrame:
     """One row per model with mean, deviation, minimum and maximum."""
     rows = [(name, *summary(values).values()) for name, values in scores.items()]
-    return spark.createDataFrame(rows, "model string, cv_mean double, cv_std double, cv_min double, cv_max double")
+    return small_table(spark, rows, "model string, cv_mean double, cv_std double, cv_min double, cv_max double")
 
 
 def out_of_fold_scores(spec: zoo.ModelSpec, frame: DataFrame, k: int, parallel: int = PARALLEL) -> DataFrame:
@@ -88,7 +88,7 @@ def evaluate_models(
         raise ValueError("no trained models")
     scored = materialize(scored, "scored")
     cv = cv_table(spark, {name: cross_validate(m.spec, cv_frame, k) for name, m in models.items()})
-    kinds = spark.createDataFrame(
+    kinds = small_table(spark, 
         [(n, "Ensemble" if "Ensemble" in n else "Base") for n in models], "model string, model_type string"
     )
     return (
@@ -188,7 +188,7 @@ def tune(
             continue
         best = max(range(len(means)), key=lambda i: means[i])
         rows += [(name, str(o), float(m), int(i == best)) for i, (o, m) in enumerate(zip(options, means))]
-    table = spark.createDataFrame(rows, "model string, params string, cv_mean double, best int")
+    table = small_table(spark, rows, "model string, params string, cv_mean double, best int")
     return tuned, table
 
 
@@ -256,7 +256,7 @@ def save_best(spark: SparkSession, model: zoo.Fitted, root: str, accuracy_value:
     model.save(spark, path)
     row = [(model.spec.name, path, saved_at, accuracy_value, int(accuracy_value >= threshold), int(tuned), str(model.spec.params))]
     columns = "model string, path string, saved_at string, accuracy double, meets_threshold int, tuned int, params string"
-    spark.createDataFrame(row, columns).write.mode("append").parquet(f"{root}/index")
+    small_table(spark, row, columns).write.mode("append").parquet(f"{root}/index")
     return path
 
 
@@ -279,6 +279,6 @@ def folded_frame(df: DataFrame, features: Sequence[str], label: str, key: str, k
 
 def importance_table(spark: SparkSession, model: zoo.Fitted, names: Sequence[str], top: int | None = None) -> DataFrame:
     """Features by importance, largest first."""
-    df = spark.createDataFrame(model.importances(names), "feature string, importance double")
+    df = small_table(spark, model.importances(names), "feature string, importance double")
     ordered = df.orderBy(F.desc("importance"), "feature")
     return ordered.limit(top) if top else ordered

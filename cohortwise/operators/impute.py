@@ -44,13 +44,20 @@ class MedianImputer:
     tables: list[DataFrame] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> MedianImputer:
+        if not self.staged:
+            found = medians_by_levels(df, self.value, self.levels, "__median", "__rows")
+            every = materialize(found, "medians")
+            self.tables = [
+                every.filter(F.col("level") == i).select(*level, "__median", "__rows")
+                for i, level in enumerate(self.levels)
+            ]
+            return self
         self.tables = []
         current = df
         for level in self.levels:
             medians = materialize(grouped_median(current, level, self.value, "__median", rows="__rows"), "medians")
             self.tables.append(medians)
-            if self.staged:
-                current = self._fill(current, level, medians)
+            current = self._fill(current, level, medians)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -71,7 +78,9 @@ class MedianImputer:
         return joined.withColumn(self.value, filled).select(*columns)
 
 
-def medians_by_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]]) -> DataFrame:
+def medians_by_levels(
+    df: DataFrame, value: str, levels: Sequence[Sequence[str]], name: str = "median", rows: str = "n"
+) -> DataFrame:
     """Medians of several key levels from one pass over the table.
 
     A row enters every level it has all keys for; columns a level leaves out
@@ -92,7 +101,7 @@ def medians_by_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]]
         .filter(F.col("__k").isNotNull())
         .select(value, *[F.col(f"__k.{c}").alias(c) for c in ["level", *columns]])
     )
-    return grouped_median(long, ["level", *columns], value, keep_null_keys=True)
+    return grouped_median(long, ["level", *columns], value, name, keep_null_keys=True, rows=rows)
 
 
 @dataclass

@@ -16,6 +16,9 @@ HOT_PARTS = 1000
 SALTS = 64
 # Most rows a broadcast table may have, next to the session's byte limit.
 BROADCAST_ROWS = 200_000
+# The optimizer's stand-in for an unknown size, and what is accepted then.
+UNKNOWN_BYTES = 1 << 60
+UNSIZED_ROWS = 10_000
 
 
 def _equal(left: str, right: str, null_safe: bool) -> Column:
@@ -23,14 +26,21 @@ def _equal(left: str, right: str, null_safe: bool) -> Column:
 
 
 def fits_broadcast(table: DataFrame, count: int | None = None) -> bool:
-    """Whether a table may be broadcast: the optimizer's size estimate is below
-    the session's limit, and so is the counted number of rows."""
+    """Whether a table may be broadcast.
+
+    The optimizer's size estimate must be below the session's limit, and the
+    counted rows below ``BROADCAST_ROWS``. Where the optimizer has no estimate,
+    only ``UNSIZED_ROWS`` rows pass.
+    """
     limit = broadcast_limit(table.sparkSession)
-    if limit <= 0 or plan_bytes(table) > limit:
+    size = plan_bytes(table)
+    unsized = size >= UNKNOWN_BYTES
+    if limit <= 0 or (size > limit and not unsized):
         return False
+    most = min(UNSIZED_ROWS, BROADCAST_ROWS) if unsized else BROADCAST_ROWS
     if count is None:
-        count = table.limit(BROADCAST_ROWS + 1).count()
-    return count <= BROADCAST_ROWS
+        count = table.limit(most + 1).count()
+    return count <= most
 
 
 def attach(

@@ -21,6 +21,23 @@ def long_form(df: DataFrame, features: Sequence[str], label: str | None = None)
     return df.select(*kept, *values).unpivot(ids, [F.col(f"`{c}`") for c in features], "feature", "x")
 
 
+# More columns than this are aggregated in long form, where the generated code
+# stays small.
+WIDE_COLUMNS = 16
+
+
+def _moments_wide(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    clean = [no_nan(F.col(f"`{c}`")) for c in columns]
+    means = [F.avg(v).alias(f"m{i}") for i, v in enumerate(clean)]
+    row = df.agg(*means, *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(clean)]).first()
+    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
+
+
+def _moments_long(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    long = long_form(df, columns).groupBy("feature").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    return {r["feature"]: (r["mean"] or 0.0, r["std"] or 1.0) for r in long.collect()}  # one row per column
+
+
 @dataclass
 class Standardizer:
     """Subtract the mean, divide by the population deviation (1 where it is 0).
@@ -33,10 +50,7 @@ class Standardizer:
 
     def fit(self, df: DataFrame) -> Standardizer:
         columns = list(self.columns or numeric_columns(df))
-        # Long form: one small aggregate whatever the number of columns.
-        long = long_form(df, columns)
-        rows = long.groupBy("feature").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")).collect()
-        found = {r["feature"]: (r["mean"] or 0.0, r["std"] or 1.0) for r in rows}
+        found = _moments_wide(df, columns) if len(columns) <= WIDE_COLUMNS else _moments_long(df, columns)
         self.stats = {c: found.get(c, (0.0, 1.0)) for c in columns}
         return self
 

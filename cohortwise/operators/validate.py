@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortwise.session import plan_bytes
+from cohortwise.session import plan_bytes, small_table
 
 
 @dataclass
@@ -137,7 +137,7 @@ def output_checks(df: DataFrame, key: str, label: str, expected_rows: int | None
     right_columns = df.columns == [key, label]
     if not right_columns:
         names = [("columns", False, len(df.columns)), ("compliant", False, len(df.columns))]
-        return df.sparkSession.createDataFrame(names, "check string, passed boolean, detail bigint")
+        return small_table(df.sparkSession, names, "check string, passed boolean, detail bigint")
     bad_label = F.col(label).isNull() | F.coalesce(~_int_like(label).isin(0, 1), F.lit(True))
     facts = df.agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),

@@ -21,7 +21,7 @@ from cohortwise.operators.target_encode import GroupRate, out_of_fold
 from cohortwise.operators.validate import TableRules, output_checks, prediction_summary, validate
 from cohortwise.plans.features import BasicFeatures, EnhancedFeatures, Roles
 from cohortwise.plans.store import load_fitted, save_fitted
-from cohortwise.session import materialize, scratch_path
+from cohortwise.session import materialize, scratch_path, small_table
 from cohortwise.sources.tables import prediction_table, read_predictions, write_predictions
 
 log = logging.getLogger(__name__)
@@ -311,4 +311,4 @@ def compare_feature_sets(df: DataFrame, roles: Roles = Roles(), spec: zoo.ModelS
         rows.append((name, stats["cv_mean"], stats["cv_std"], len(features.names)))
     worst = min(r[1] for r in rows)
     table = [(n, m, s, c, m - worst) for n, m, s, c in rows]
-    return spark.createDataFrame(table, "feature_set string, cv_mean double, cv_std double, features int, gain double")
+    return small_table(spark, table, "feature_set string, cv_mean double, cv_std double, features int, gain double")

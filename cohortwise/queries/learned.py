@@ -11,7 +11,7 @@ from cohortwise.plans import jobs
 from cohortwise.plans.features import AdvancedFeatures, BasicFeatures, EnhancedFeatures
 from cohortwise.queries.fixtures import fx_items, fx_passengers, over
 from cohortwise.queries.registry import query
-from cohortwise.session import materialize, scratch_path
+from cohortwise.session import materialize, scratch_path, small_table
 
 _NUMBERS = ["klass", "woman", "companions", "age", "fare"]
 _FOREST = zoo.ModelSpec("RandomForest", "random_forest", {"numTrees": 10, "maxDepth": 5})
@@ -246,7 +246,7 @@ def job_ensemble(spark, sf):
 @query("job_hybrid")
 def job_hybrid(spark, sf):
     training, scoring = _train_and_score(spark, sf)
-    thresholds = spark.createDataFrame([("male", 0.6), ("female", 0.4)], "Sex string, threshold double")
+    thresholds = small_table(spark, [("male", 0.6), ("female", 0.4)], "Sex string, threshold double")
     return jobs.hybrid_predict(training, scoring, specs=[_LOGISTIC, _TREE], thresholds=thresholds, k=2)["predictions"]
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cohortwise.operators import rules as R
 from cohortwise.queries.fixtures import fx_items, fx_orders, fx_scores, over, table
 from cohortwise.queries.registry import query
+from cohortwise.session import small_table
 
 _UNANIMITY = """SELECT family, count(*) AS members, count(*) FILTER (WHERE title <> 'Mr') AS n_eligible,
 sum(label) FILTER (WHERE title <> 'Mr') AS pos FROM fx_items WHERE part = 'train' GROUP BY family"""
@@ -156,7 +157,7 @@ FROM fx_scores""",
     ),
 )
 def threshold_by_cohort(spark, sf):
-    thresholds = spark.createDataFrame([("O", 0.6), ("F", 0.4)], "kind string, threshold double")
+    thresholds = small_table(spark, [("O", 0.6), ("F", 0.4)], "kind string, threshold double")
     df = R.decide(fx_scores(spark, sf), "prob", thresholds, "kind")
     return df.select("id", "model", "prediction")
 

@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -72,3 +75,11 @@ def broadcast_limit(spark: SparkSession) -> int:
     if text and text[-1] in units:
         return int(float(text[:-1]) * units[text[-1]])
     return int(text)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a local relation, whose size the optimizer knows."""
+    fields = _parse_datatype_string(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields.names]
+    arrow = pa.table({n: list(c) for n, c in zip(fields.names, columns)}, schema=to_arrow_schema(fields))
+    return spark.createDataFrame(arrow, fields)
