@@ -15,15 +15,25 @@ LABEL = "label"
 FOLD = "fold"
 
 
+def vectorize(df: DataFrame, features: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Keep the named columns, the label, and all features as one array and one
+    vector; missing feature values are 0."""
+    return _with_vector(_with_array(df, features, label, keep))
+
+
 def model_frame(df: DataFrame, features: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Keep the named columns, the label, and all features as one vector.
+    """:func:`vectorize`, written to the shared folder once, because training
+    reads it many times."""
+    return _with_vector(materialize(_with_array(df, features, label, keep), "frame"))
+
 
-    The array form is written to the shared folder once, because training
-    reads it many times; missing feature values are 0.
-    """
+def _with_array(df: DataFrame, features: Sequence[str], label: str | None, keep: Sequence[str]) -> DataFrame:
     values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features])
     columns = [F.col(c) for c in keep]
     if label:
         columns.append(F.col(label).cast("int").alias(LABEL))
-    written = materialize(df.select(*columns, values.alias("values")), "frame")
-    return written.withColumn(FEATURES, array_to_vector("values"))
+    return df.select(*columns, values.alias("values"))
+
+
+def _with_vector(df: DataFrame) -> DataFrame:
+    return df.withColumn(FEATURES, array_to_vector("values"))

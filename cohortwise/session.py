@@ -9,7 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -79,7 +79,7 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a local relation, whose size the optimizer knows."""
-    fields = _parse_datatype_string(schema)
+    fields = StructType.fromDDL(schema)
     columns = list(zip(*rows)) if rows else [[] for _ in fields.names]
     arrow = pa.table({n: list(c) for n, c in zip(fields.names, columns)}, schema=to_arrow_schema(fields))
     return spark.createDataFrame(arrow, fields)
