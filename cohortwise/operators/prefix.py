@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortwise.operators.joins import attach
+from cohortwise.operators.joins import fits_broadcast
 from cohortwise.session import materialize
 
 
@@ -47,7 +47,16 @@ def running_totals(
     )
     within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = sliced.withColumns({f"__l_{n}": F.sum(c).over(within) for n, c in sums.items()})
-    joined = attach(local, offsets, group, null_safe=null_safe)
+    joined = _join_offsets(local, offsets, group, null_safe)
     return joined.withColumns({n: F.col(f"__l_{n}") + F.col(f"__o_{n}") for n in sums}).drop(
         "__slice", *[f"__l_{n}" for n in sums], *[f"__o_{n}" for n in sums]
     )
+
+
+def _join_offsets(local: DataFrame, offsets: DataFrame, group: Sequence[str], null_safe: bool) -> DataFrame:
+    """Slices are even, so a plain join does; rows already lie by slice after
+    the window, so only the offsets move when they are too many to broadcast."""
+    renamed = offsets.select(*[F.col(k).alias(f"__k_{k}") if k in group else F.col(k) for k in offsets.columns])
+    renamed = F.broadcast(renamed) if fits_broadcast(offsets) else renamed
+    on = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) if null_safe else F.col(k) == F.col(f"__k_{k}") for k in group]
+    return local.join(renamed, on).drop(*[f"__k_{k}" for k in group])

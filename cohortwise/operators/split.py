@@ -24,16 +24,20 @@ def key_hash(key: Column, seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def hash_rank(df: DataFrame, key: str, strata: Sequence[str] = (), seed: int = 42, slices: int = 4096) -> DataFrame:
+def hash_rank(df: DataFrame, key: str, strata: Sequence[str] = (), seed: int = 42, slices: int | None = None) -> DataFrame:
     """Add ``__rank``: position (from 1) by hash within the stratum.
 
     Ties on the hash are ordered by key. Hash values are uniform, so slices of
-    the hash range are even and no stratum has to fit in one task.
+    the hash range are even and no stratum has to fit in one task. The number
+    of slices grows with the session's shuffle partitions. Rows without a
+    stratum value form a stratum of their own.
     """
+    if slices is None:
+        slices = max(4096, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hashed = df.withColumn("__hash", key_hash(F.col(key), seed))
     step = HASH_RANGE // slices
     ranked = running_totals(
-        hashed, list(strata), [F.col("__hash"), F.col(key)], {"__rank": F.lit(1)}, F.floor(F.col("__hash") / step)
+        hashed, list(strata), [F.col("__hash"), F.col(key)], {"__rank": F.lit(1)}, F.floor(F.col("__hash") / step), True
     )
     return ranked.drop("__hash")
 

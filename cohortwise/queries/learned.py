@@ -57,11 +57,13 @@ def features_v3(spark, sf):
 
 
 _NB = """WITH f AS (SELECT id, label, quantity::DOUBLE AS x1, price_cents::DOUBLE / 1000000 AS x2 FROM fx_items),
-s AS (SELECT label, count(*)::DOUBLE AS n, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS v1, var_pop(x2) AS v2 FROM f GROUP BY label),
-e AS (SELECT 1e-9 * greatest(max(v1), max(v2)) AS eps FROM (SELECT var_pop(x1) AS v1, var_pop(x2) AS v2 FROM f)),
-l AS (SELECT f.id, s.label, ln(s.n / (SELECT count(*) FROM f)) - 0.5 * (ln(2 * pi() * (v1 + eps)) + pow(x1 - m1, 2) / (v1 + eps)
-  + ln(2 * pi() * (v2 + eps)) + pow(x2 - m2, 2) / (v2 + eps)) AS ll FROM f, s, e)
-SELECT id, round(1 / (1 + exp(sum(CASE WHEN label = 0 THEN ll ELSE -ll END))), 6) AS prob FROM l GROUP BY id"""
+e AS (SELECT 1e-9 * greatest(var_pop(x1), var_pop(x2)) AS eps, count(*) AS total FROM f),
+s AS (SELECT label, ln(count(*)::DOUBLE / any_value(total)) AS prior, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) + any_value(eps) AS v1,
+  var_pop(x2) + any_value(eps) AS v2 FROM f, e GROUP BY label),
+l AS (SELECT f.id, a.prior - 0.5 * (ln(2 * pi() * a.v1) + pow(x1 - a.m1, 2) / a.v1 + ln(2 * pi() * a.v2) + pow(x2 - a.m2, 2) / a.v2) AS l0,
+  b.prior - 0.5 * (ln(2 * pi() * b.v1) + pow(x1 - b.m1, 2) / b.v1 + ln(2 * pi() * b.v2) + pow(x2 - b.m2, 2) / b.v2) AS l1
+  FROM f, s a, s b WHERE a.label = 0 AND b.label = 1)
+SELECT id, round(1 / (1 + exp(l0 - l1)), 6) AS prob FROM l"""
 
 
 @query("nb_gaussian_scores", over("fx_items", _NB))

@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Folders written by materialize() in this process.
+_written: list[str] = []
 
 
 def local_session(app: str = "cohortwise", cores: str | int = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -59,10 +61,25 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has materialised; returns their number.
+
+    Call it when no result that reads them is needed any more.
+    """
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    count = 0
+    while _written:
+        path = paths(_written.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` in bytes."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

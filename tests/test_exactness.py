@@ -120,3 +120,37 @@ def test_folds_are_even_within_label(skewed):
     sizes = assign_folds(df, "id", "y", 5).groupBy("y", "fold").count().toPandas()
     for _, g in sizes.groupby("y"):
         assert len(g) == 5 and g["count"].max() - g["count"].min() <= 1
+
+
+def test_split_keeps_rows_without_label(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(90)], "id int, y int")
+    assert stratified_split(df, "id", "y", 0.2).filter("part = 'test'").count() == 18
+    folds = assign_folds(df, "id", "y", 5).groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in folds) == [18] * 5
+
+
+def test_offsets_join_by_shuffle_gives_the_same(skewed, monkeypatch):
+    pdf, df = skewed
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    out = running_totals(df, ["k"], [F.col("id")], {"total": F.col("y")}).toPandas().sort_values("id")
+    np.testing.assert_array_equal(out["total"].to_numpy(), pdf.groupby("k")["y"].cumsum().to_numpy())
+
+
+def test_scratch_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from cohortwise import session
+
+    def stub(folder, master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    assert session.checkpoint_root(stub("hdfs:///shared", "yarn")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(stub(None, "yarn"))
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: str(tmp_path))
+    monkeypatch.setattr(session, "_written", [])
+    assert session.materialize(spark.range(5).toDF("id")).count() == 5
+    assert len(list(tmp_path.iterdir())) == 1
+    assert session.release(spark) == 1 and not list(tmp_path.iterdir())
