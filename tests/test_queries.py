@@ -45,7 +45,11 @@ def plan_of(df):
 SINGLE_WINDOW = {"hist_density"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# The support vector machine's random features are an Arrow-batched function.
+ARROW = {"model_roundtrip"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - ARROW))
 def test_plan_stays_in_the_jvm_and_has_no_cross_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "FlatMapGroupsInPandas"):
