@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns for a title and a family name inside a name, and for
@@ -28,8 +28,11 @@ TITLES_KEPT = ["Mr", "Miss", "Mrs", "Master", "Officer"]
 TITLE_BY_SEX = {"male": "Mr", "female": "Mrs"}
 
 
-def token(text: Column, pattern: str, group: int = 1) -> Column:
-    """First match of a pattern; null when there is none."""
+def token(text: Column, pattern: str | None, group: int = 1) -> Column:
+    """First match of a pattern; null when there is none. Without a pattern the
+    column already is the token."""
+    if pattern is None:
+        return text
     found = F.regexp_extract(text, pattern, group)
     return F.when(found != "", found)
 
@@ -104,6 +107,13 @@ def token_count(text: Column) -> Column:
     return F.coalesce(spaces + 1, F.lit(0)).cast("int")
 
 
+def with_tokens(df: DataFrame, tokens: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add tokens as columns ``name: (text column, pattern)``, each matched once
+    however often it is used afterwards."""
+    raw = df.withColumns({name: F.regexp_extract(F.col(text), pattern, 1) for name, (text, pattern) in tokens.items()})
+    return raw.withColumns({name: F.when(F.col(name) != "", F.col(name)) for name in tokens})
+
+
 def letter_prefix(text: Column, missing: str = "None") -> Column:
     """First run of letters, slashes and dots."""
     return F.coalesce(token(text, PREFIX_PATTERN), F.lit(missing))
