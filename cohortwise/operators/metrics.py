@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortwise.functions.bins import cut, equal_width_edges, value_range
+from cohortwise.functions.bins import cut, value_range
 from cohortwise.operators.joins import attach
 from cohortwise.operators.prefix import running_totals
 from cohortwise.operators.quantiles import no_nan

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortwise.operators import ensemble as N
 from cohortwise.operators import metrics as M
 from cohortwise.operators import split as S
-from cohortwise.queries.fixtures import fx_orders, fx_scores, over, table
+from cohortwise.queries.fixtures import fx_orders, fx_scores, over
 from cohortwise.queries.registry import query
 
 _HASH = "('0x' || substr(md5(id || '|42'), 1, 8))::BIGINT"
