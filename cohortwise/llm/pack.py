@@ -183,7 +183,7 @@ def pack(pieces_: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     histogram = {r["length"]: r["count"] for r in pieces_.groupBy("length").count().collect()}
     runs = [(n, rank, rank + count, each, at, offset) for n, rank, count, each, at, offset in plan_bins(histogram, capacity)]
     table = small_table(spark, runs, "length long, rank_from long, rank_to long, each long, bin long, offset_from long")
-    groups = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = pieces_.withColumn("deal", F.pmod(F.xxhash64("id", "piece"), F.lit(groups)))
     sizes = dealt.groupBy("length", "deal").count()
     before = Window.partitionBy("length").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import exact, pack, simhash
+from cohortwise.llm import chat, credentials, decontaminate, exact, langid, licenses, pack, quality, simhash, substrings
+from cohortwise.session import small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +40,52 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query("op3_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.scan(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", F.col("joined").alias("spans"))
+
+
+@_query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select(F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
+@_query("op5_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return scored.select(F.col("id").alias("doc_id"), quality.held_out("id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@_query("op6_chat_formatting")
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = chat.END + chat.START + "assistant ok"
+    both = small_table(spark, [(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema.simpleString()[7:-1].replace(",", ", "))
+    done = chat.format_records(chat.records_of(rows.unionByName(both)))
+    lines = F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = chat.under_mask(F.col("formatted"), F.col("loss_mask"))
+    return done.select(
+        F.col("id").alias("conv_id"),
+        F.size("read").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "layout",
+    )
+
+
+@_query("op7_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.LicenseClassifier.train(docs))
+
+
 @_query(
     "op8_exact_dedup",
     """
@@ -51,3 +98,13 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep="largest")
     return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@_query("op9_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query("op10_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")

@@ -195,3 +195,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = materialize(left_join_hot(materialize(owned.select("fp", "root"), "owned"), firsts, "root").select("fp", "component_id"), "named")
     return left_join_hot(marks, named, "fp").select("id", "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, all columns as given: the row whose identifier names it.
+
+    Rows with a null identifier stay, for nothing tells them apart; of repeated
+    rows of the naming identifier one stays.
+    """
+    found = near_duplicates(docs, id_col, text_col, **options)
+    first = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias(id_col)).distinct()
+    rows = docs.join(first, id_col, "left_semi")
+    twice = found.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1")
+    repeated = materialize(twice.select(F.col("id").alias(id_col)), "repeated")
+    if not repeated.isEmpty():
+        rows = rows.join(repeated, id_col, "left_anti").unionByName(rows.join(repeated, id_col, "left_semi").dropDuplicates([id_col]))
+    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
