@@ -61,7 +61,7 @@ def test_planted_passages(spark, monkeypatch, limit):
 
 def test_documents(spark, docs, sf, odd, empty):
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
-    few = docs.orderBy("doc_id").limit(80)
+    few = docs.orderBy("n_chars").limit(60)
     assert result(few, benchmark) == brute([(r["doc_id"], r["text"]) for r in few.collect()], [(r["item_id"], r["text"]) for r in benchmark.collect()])
     assert result(odd, benchmark) == [] and result(empty, benchmark) == [] and result(docs, benchmark.limit(0)) == []
 
