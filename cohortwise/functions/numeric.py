@@ -57,15 +57,16 @@ def age_category(age: Column) -> Column:
     return ladder(age, AGE_LADDER, "Elderly", "Unknown")
 
 
-def size_class(size: Column, legacy: bool = False) -> Column:
-    """Size class of a group.
+def size_class(size: Column, legacy: bool = False, edges: tuple[int, int, int] = (1, 3, 4)) -> Column:
+    """Size class of a group: Alone, Small and Medium up to the ``edges``, Large beyond; null stays null.
 
     ``legacy`` gives what the reference computes, where later assignments
     overwrite earlier ones and only Small and Large remain.
     """
     if legacy:
         return F.when(size >= 5, "Large").when(size <= 4, "Small").otherwise("Medium")
-    return F.when(size == 1, "Alone").when(size <= 4, "Small").when(size >= 5, "Large").otherwise("Medium")
+    alone, small, medium = edges
+    return F.when(size <= alone, "Alone").when(size <= small, "Small").when(size <= medium, "Medium").when(size > medium, "Large")
 
 
 def family_flags(a: Column, b: Column, size: Column) -> dict[str, Column]:

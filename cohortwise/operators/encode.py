@@ -12,7 +12,9 @@ from cohortwise.operators.joins import attach
 from cohortwise.operators.prefix import running_totals
 from cohortwise.session import materialize
 
-MAX_CATEGORIES = 1000
+# Least share of the rows for a column of its own in one-hot encoding, and what rarer values are called.
+MIN_SHARE = 1 / 1000
+RARE = "Rare"
 # Vocabularies up to this counted size are numbered in one task.
 ONE_TASK_VALUES = 100_000
 
@@ -38,41 +40,59 @@ def onehot_fixed(df: DataFrame, categories: dict[str, Sequence]) -> DataFrame:
 class OneHot:
     """One-hot encoding with the categories learned at fit.
 
-    Values first seen later get 0 everywhere, missing ones still get their
-    column, so every table comes out with the same columns. More than
-    ``max_categories`` values in a column is an error; such columns belong in
-    :class:`LabelCodes` or a sparse encoder.
+    A value gets a column of its own if it holds at least ``min_share`` of the
+    column's non-null rows, so there are at most ``1 / min_share`` columns
+    whatever the vocabulary. All rarer values known at fit share the column
+    ``<column>_Rare``, if there are any. Values first seen later get 0
+    everywhere, missing ones still get their column, so every table comes out
+    with the same columns.
     """
 
     columns: Sequence[str]
     drop_first: bool = False
-    max_categories: int = MAX_CATEGORIES
+    min_share: float = MIN_SHARE
     categories: dict[str, list[str]] | None = None
+    rare: dict[str, DataFrame] = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> OneHot:
         long = df.select(*[F.col(c).cast("string").alias(c) for c in self.columns]).unpivot(
             [], list(self.columns), "column", "value"
         )
-        bound = self.max_categories * len(self.columns)
-        seen = long.filter(F.col("value").isNotNull()).distinct().limit(bound + 1).collect()
+        counts = materialize(long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("__n")), "categories")
+        totals = {r["column"]: (r["n"], r["values"]) for r in counts.groupBy("column").agg(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("values")).collect()}
+        least = F.lit(None).cast("double")
+        for column, (n, _) in totals.items():
+            least = F.when(F.col("column") == column, F.lit(n * self.min_share)).otherwise(least)
         found: dict[str, list[str]] = {c: [] for c in self.columns}
-        for row in seen:
+        for row in counts.filter(F.col("__n") >= least).select("column", "value").collect():
             found[row["column"]].append(row["value"])
+        self.categories, self.rare = {}, {}
         for column, values in found.items():
-            if len(seen) > bound or len(values) > self.max_categories:
-                raise ValueError(f"{column} has more than {self.max_categories} categories")
             values.sort()
-        self.categories = {c: v[1:] if self.drop_first else v for c, v in found.items()}
+            if len(values) < totals.get(column, (0, 0))[1]:
+                own = counts.filter((F.col("column") == column) & (F.col("__n") < least))
+                self.rare[column] = own.select("value", F.lit(1).alias("__rare"))
+            self.categories[column] = values[1:] if self.drop_first else values
         return self
 
     @property
     def names(self) -> list[str]:
-        return [onehot_name(c, v) for c, values in (self.categories or {}).items() for v in values]
+        out = []
+        for c, values in (self.categories or {}).items():
+            out += [onehot_name(c, v) for v in values] + ([onehot_name(c, RARE)] if c in self.rare and RARE not in values else [])
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.categories is None:
             raise ValueError("fit the encoder first")
-        return onehot_fixed(df, self.categories)
+        coded = onehot_fixed(df, self.categories)
+        for column, table in self.rare.items():
+            name = onehot_name(column, RARE)
+            keyed = coded.withColumn("__value", F.col(column).cast("string"))
+            joined = attach(keyed, table.withColumnRenamed("value", "__value"), ["__value"]).drop("__value")
+            known = F.col(name) if name in coded.columns else F.lit(0)
+            coded = joined.withColumn(name, F.greatest(known, F.coalesce("__rare", F.lit(0)))).drop("__rare")
+        return coded
 
 
 @dataclass

@@ -14,6 +14,9 @@ from cohortwise.session import broadcast_limit, materialize, plan_bytes
 # there are fewer than HOT_PARTS hot keys whatever the table size.
 HOT_PARTS = 1000
 SALTS = 64
+STREAM_SALTS = 8
+# Rows with a null key match nothing, so they may go anywhere.
+NULL_SALTS = 1 << 20
 # Most rows a broadcast table may have, next to the session's byte limit.
 BROADCAST_ROWS = 200_000
 # The optimizer's stand-in for an unknown size, and what is accepted then.
@@ -53,38 +56,47 @@ def attach(
 ) -> DataFrame:
     """Left-join a table with unique ``keys`` onto ``df``.
 
-    A table small enough is broadcast. A larger one is joined by shuffle, with
-    the hot keys spread over ``SALTS`` partitions. Which keys are hot is read
-    from the row count per key in column ``rows`` of the table (dropped from
-    the result), or else counted on ``df``.
+    A table small enough is broadcast. A larger one is joined by shuffle: rows
+    with a null key, which can't match, are spread evenly, and the hot keys of
+    ``df``, found by one map-side combined count of its keys, over ``SALTS``
+    partitions. A stream can't be counted beforehand, so there every key is
+    spread over ``STREAM_SALTS``. ``rows`` names a count column of the table
+    that is dropped from the result.
     """
     carried = [c for c in table.columns if c not in keys and c != rows]
     if fits_broadcast(table, count):
         renamed = table.select(*[F.col(k).alias(f"__{k}") for k in keys], *carried)
         on = [_equal(k, f"__{k}", null_safe) for k in keys]
         return df.join(F.broadcast(renamed), on, "left").drop(*[f"__{k}" for k in keys])
-    counts = table.select(*keys, F.col(rows).alias("__rows")) if rows else df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    total = (counts.agg(F.sum("__rows")).first()[0] if rows else df.count()) or 0
-    # Fewer than HOT_PARTS keys can pass this filter.
-    hot = counts.filter(F.col("__rows") * HOT_PARTS > F.lit(total))
-    hot = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
-    if not rows:
-        hot = materialize(hot, "hot-keys")
-    to_hot = [_equal(k, f"__h_{k}", null_safe) for k in keys]
-    hot_columns = ["__hot", *[f"__h_{k}" for k in keys]]
+    deal = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     zero = F.lit(0).cast("bigint")
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))).otherwise(zero)
-    flagged = df.join(F.broadcast(hot), to_hot, "left").withColumn("__salt", salt).drop(*hot_columns)
-    copies = F.when(F.col("__hot"), F.sequence(zero, F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(zero))
-    spread = table.join(F.broadcast(hot), to_hot, "left").select(
-        *[F.col(k).alias(f"__{k}") for k in keys], *carried, F.explode(copies).alias("__copy")
-    )
+    if df.isStreaming:
+        salt, copies = F.pmod(deal, F.lit(STREAM_SALTS)), F.sequence(zero, F.lit(STREAM_SALTS - 1).cast("bigint"))
+        flagged, marked = df, table
+    else:
+        hot = _hot_keys(df, keys, null_safe)
+        to_hot = [_equal(k, f"__h_{k}", null_safe) for k in keys]
+        flagged = df.join(F.broadcast(hot), to_hot, "left")
+        marked = table.join(F.broadcast(hot), to_hot, "left")
+        salt = F.when(F.col("__hot"), F.pmod(deal, F.lit(SALTS))).otherwise(zero)
+        copies = F.when(F.col("__hot"), F.sequence(zero, F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(zero))
+    if not null_safe:
+        salt = F.when(all_present(keys), salt).otherwise(F.pmod(deal, F.lit(NULL_SALTS)))
+    flagged = flagged.withColumn("__salt", salt).drop("__hot", *[f"__h_{k}" for k in keys])
+    spread = marked.select(*[F.col(k).alias(f"__{k}") for k in keys], *carried, F.explode(copies).alias("__copy"))
     on = [_equal(k, f"__{k}", null_safe) for k in keys] + [F.col("__salt") == F.col("__copy")]
     return flagged.join(spread, on, "left").drop("__salt", "__copy", *[f"__{k}" for k in keys])
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """The fewer than ``HOT_PARTS`` keys with more than their part of the rows, from one pass over the key columns."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = materialize(counts if null_safe else counts.filter(all_present(keys)), "key-counts")
+    total = counts.agg(F.sum("__rows")).first()[0] or 0
+    hot = counts.filter(F.col("__rows") * HOT_PARTS > F.lit(total))
+    return hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
+
+
 def join_with_default(
     df: DataFrame, table: DataFrame, keys: Sequence[str], column: str, default, rows: str | None = None
 ) -> DataFrame:
@@ -101,8 +113,8 @@ def mark_members(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: s
 
 def keep_members(df: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``members`` (semi-join)."""
-    marked = mark_members(df, members.select(*keys).distinct(), keys, "__member")
-    return marked.filter(F.col("__member") == 1).drop("__member")
+    own = members.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    return df.join(own, [F.col(k) == F.col(f"__{k}") for k in keys], "left_semi")
 
 
 def all_present(columns: Sequence[str]) -> Column:

@@ -178,7 +178,7 @@ def feat_transforms(spark, sf):
     over(
         "fx_orders",
         """WITH s AS (SELECT id, rel_a + rel_b + 1 AS s FROM fx_orders)
-SELECT id, CASE WHEN s = 1 THEN 'Alone' WHEN s <= 4 THEN 'Small' ELSE 'Large' END AS size_class,
+SELECT id, CASE WHEN s = 1 THEN 'Alone' WHEN s IN (2, 3) THEN 'Small' WHEN s = 4 THEN 'Medium' WHEN s > 4 THEN 'Large' END AS size_class,
 CASE WHEN s >= 5 THEN 'Large' ELSE 'Small' END AS legacy_class FROM s""",
     ),
 )

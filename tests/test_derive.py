@@ -54,7 +54,7 @@ def test_numbers(spark):
     size = N.group_size(F.col("a"), F.col("b"))
     rows = df.select(size.alias("s"), N.is_alone(size).alias("o"), N.ratio(F.col("fare"), size).alias("r")).collect()
     assert [tuple(r) for r in rows] == [(2, 0, 15.0), (2, 0, 25.0), (4, 0, 5.0), (1, 1, None)]
-    assert values(spark, N.size_class(V), [1, 3, 4, 5], "int") == ["Alone", "Small", "Small", "Large"]
+    assert values(spark, N.size_class(V), [1, 3, 4, 5, None], "int") == ["Alone", "Small", "Medium", "Large", None]
     assert values(spark, N.size_class(V, legacy=True), [1, 3, 4, 5], "int") == ["Small", "Small", "Small", "Large"]
     ages = [None, 4.9, 5.0, 12.0, 18.0, 25.0, 35.0, 50.0, 65.0]
     assert values(spark, N.age_category(V), ages, "double") == [
@@ -138,8 +138,8 @@ def test_onehot_is_aligned(spark):
     assert enc.names == ["c_a", "c_b"]
     assert [tuple(r)[1:] for r in enc.transform(score).collect()] == [(0, 1), (0, 0), (0, 0)]
     assert E.OneHot(["c"], drop_first=True).fit(train).names == ["c_b"]
-    with pytest.raises(ValueError):
-        E.OneHot(["c"], max_categories=1).fit(train)
+    rare = E.OneHot(["c"], min_share=0.6).fit(train)
+    assert rare.names == ["c_Rare"] and [r["c_Rare"] for r in rare.transform(train).collect()] == [1, 1, 0]
 
 
 @pytest.mark.parametrize("bound", [100, 0])

@@ -154,3 +154,61 @@ def test_scratch_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
     assert session.materialize(spark.range(5).toDF("id")).count() == 5
     assert len(list(tmp_path.iterdir())) == 1
     assert session.release(spark) == 1 and not list(tmp_path.iterdir())
+
+
+def _largest_task(df):
+    return df.withColumn("__p", F.spark_partition_id()).groupBy("__p").count().agg(F.max("count")).first()[0]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_null_keys_are_spread(spark, shuffled_joins):
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN id END AS k")
+    table = spark.range(0, 20_000, 20).selectExpr("id AS k", "id * 2 AS v")
+    joined = joins.attach(df, table, ["k"])
+    assert joined.count() == 20_000 and joined.filter("v IS NOT NULL").count() == 1000
+    assert _largest_task(joined) < 20_000 / 8 * 1.5
+
+
+def test_keys_hot_only_in_the_joined_table_are_spread(spark, shuffled_joins):
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN -1 ELSE id END AS k")
+    table = spark.range(-1, 20_000).selectExpr("id AS k", "1L AS n", "id AS v")
+    joined = joins.attach(df, table, ["k"], rows="n")
+    assert joined.filter("k = v").count() == 20_000 and _largest_task(joined) < 20_000 / 8 * 2
+
+
+def test_stream_joins_without_broadcast(spark, shuffled_joins, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN id % 7 END AS k")
+    rows.write.parquet(str(tmp_path / "in"))
+    table = spark.createDataFrame([(k, k * 10) for k in range(5)], "k long, v long")
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    out = joins.attach(stream, table, ["k"]).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+    out.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 1000 and got.filter("v = k * 10").count() == rows.filter("k < 5").count()
+
+
+def test_members_are_a_semi_join(spark, shuffled_joins):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "a")], "id int, k string")
+    kept = joins.keep_members(df, spark.createDataFrame([("a",), ("a",), (None,)], "k string"), ["k"])
+    assert sorted(r["id"] for r in kept.collect()) == [1, 4]
+    assert "LeftSemi" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_onehot_of_a_large_vocabulary(spark):
+    from cohortwise.operators.encode import OneHot
+
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'common' WHEN id % 4 = 1 THEN concat('v', id DIV 4) END AS c")
+    coder = OneHot(["c"]).fit(rows)
+    assert coder.names == ["c_common", "c_Rare"]
+    sums = coder.transform(rows.unionByName(spark.createDataFrame([("new",)], "c string"))).agg(F.sum("c_common"), F.sum("c_Rare"), F.count(F.lit(1))).first()
+    assert tuple(sums) == (10_000, 5_000, 20_001)
