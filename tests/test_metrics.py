@@ -1,4 +1,4 @@
-"""Metrics on ten known rows, ROC, ranking, ensembles, charts."""
+"""Metrics on twelve rows counted by hand, ROC, ranking, ensembles, charts."""
 
 import numpy as np
 import pytest
@@ -7,34 +7,35 @@ from pyspark.sql import functions as F
 from cohortwise.operators import ensemble as N
 from cohortwise.operators import metrics as M
 
-TRUE = [0, 1, 1, 0, 1, 0, 1, 1, 0, 0]
-PRED = [0, 1, 0, 0, 1, 0, 1, 1, 0, 1]
-PROB = [0.1, 0.9, 0.4, 0.2, 0.8, 0.3, 0.7, 0.9, 0.1, 0.6]
+# Seven of class 1, five right and two missed; five of class 0, one of them taken for class 1.
+TRUE = [1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0]
+PRED = [1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 1]
+PROB = [0.95, 0.85, 0.85, 0.75, 0.55, 0.45, 0.25, 0.05, 0.15, 0.35, 0.45, 0.65]
 
 
 @pytest.fixture(scope="module")
-def ten(spark):
+def twelve(spark):
     return spark.createDataFrame(list(zip(TRUE, PRED, PROB)), "y int, p int, prob double")
 
 
-def test_metrics(ten):
-    row = M.binary_metrics(ten, "y", "p").first()
-    assert row["accuracy"] == 0.8 and row["precision"] == 0.8 and row["recall"] == 0.8 and row["f1_score"] == 0.8
-    cells = {(r["actual"], r["predicted"]): r["n"] for r in M.confusion_matrix(ten, "y", "p").collect()}
-    assert cells == {(0, 0): 4, (0, 1): 1, (1, 0): 1, (1, 1): 4}
-    right = M.binary_metrics(ten, "y", "y").first()
+def test_metrics(twelve):
+    row = M.binary_metrics(twelve, "y", "p").first()
+    assert [row[c] for c in ("accuracy", "precision", "recall", "f1_score")] == pytest.approx([9 / 12, 5 / 6, 5 / 7, 10 / 13])
+    cells = {(r["actual"], r["predicted"]): r["n"] for r in M.confusion_matrix(twelve, "y", "p").collect()}
+    assert cells == {(0, 0): 4, (0, 1): 1, (1, 0): 2, (1, 1): 5}
+    right = M.binary_metrics(twelve, "y", "y").first()
     assert right["accuracy"] == 1.0 and right["f1_score"] == 1.0
-    none = M.binary_metrics(ten.withColumn("z", F.lit(0)), "y", "z").first()
+    none = M.binary_metrics(twelve.withColumn("z", F.lit(0)), "y", "z").first()
     assert none["precision"] == 0.0 and none["recall"] == 0.0 and none["f1_score"] == 0.0
 
 
-def test_report(ten):
-    rows = {r["class"]: r for r in M.classification_report(ten, "y", "p").collect()}
-    assert rows["1"]["support"] == 5 and rows["accuracy"]["precision"] == 0.8 and rows["weighted avg"]["recall"] == pytest.approx(0.8)
+def test_report(twelve):
+    rows = {r["class"]: r for r in M.classification_report(twelve, "y", "p").collect()}
+    assert rows["1"]["support"] == 7 and rows["accuracy"]["precision"] == 0.75 and rows["weighted avg"]["recall"] == pytest.approx(0.75)
 
 
-def test_check_binary(ten, spark):
-    M.check_binary(ten, "y", "p")
+def test_check_binary(twelve, spark):
+    M.check_binary(twelve, "y", "p")
     with pytest.raises(ValueError):
         M.check_binary(spark.createDataFrame([(2,)], "y int"), "y")
 
@@ -44,9 +45,9 @@ def brute_auc(y, s):
     return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-def test_roc(ten, spark):
-    assert M.roc_auc(ten, "y", "prob").first()["auc"] == pytest.approx(brute_auc(TRUE, PROB))
-    points = M.roc_points(ten, "y", "prob").orderBy("fpr", "tpr").collect()
+def test_roc(twelve, spark):
+    assert M.roc_auc(twelve, "y", "prob").first()["auc"] == pytest.approx(brute_auc(TRUE, PROB))
+    points = M.roc_points(twelve, "y", "prob").orderBy("fpr", "tpr").collect()
     x, y = [r["fpr"] for r in points], [r["tpr"] for r in points]
     assert np.trapezoid(y, x) == pytest.approx(brute_auc(TRUE, PROB)) and (x[0], y[0], x[-1], y[-1]) == (0, 0, 1, 1)
     rng = np.random.default_rng(1)
