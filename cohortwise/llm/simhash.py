@@ -74,7 +74,7 @@ def _variants(nodes: DataFrame, masks: list[tuple[int, int]]) -> DataFrame:
 
 
 def link(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, dense: int = DENSE) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints ``nodes`` (fp) within ``radius`` bits of each other.
+    """Edges (a, b) that connect the distinct fingerprints ``nodes`` (fp) within ``radius`` bits of each other, each pair directly or over others linked to both.
 
     Two fingerprints within the radius meet at a variant half-way between them.
     With ``blocks = 1`` each emits its whole ball of half the radius (2081

@@ -14,9 +14,10 @@ HOT_FLOOR = 1000
 
 def hot_keys(df: DataFrame, key: str) -> list:
     """The values of ``key`` that hold more than ``HOT_SHARE`` of the rows (fewer than ``1 / HOT_SHARE``), from a map-side combined count."""
-    counts = df.groupBy(key).count()
-    bound = max(HOT_FLOOR, int(df.count() * HOT_SHARE))
-    return [r[0] for r in counts.filter((F.col("count") > bound) & F.col(key).isNotNull()).select(key).collect()]
+    counts = df.groupBy(key).count().filter((F.col("count") > HOT_FLOOR) & F.col(key).isNotNull())
+    most = counts.orderBy(F.desc("count")).limit(int(1 / HOT_SHARE)).collect()
+    bound = df.count() * HOT_SHARE if most else 0
+    return [r[0] for r in most if r["count"] > bound]
 
 
 def left_join_hot(df: DataFrame, table: DataFrame, key: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -9,23 +10,29 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 
-@pytest.fixture(scope="module")
-def tokenizer():
+@lru_cache
+def slow():
     import public_tokenizers
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@pytest.fixture(scope="module")
+def tokenizer():
+    return slow()
+
+
 @given(st.text(max_size=300))
 @settings(max_examples=200, deadline=None)
 def test_ids_equal_tokenizers(text):
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for t in (text, text + "<|endoftext|>" + text):
-        assert pack._encoder(None, None)(t).tolist() == slow.encode(t, add_special_tokens=False).ids
+        assert pack._encoder(None, None)(t).tolist() == slow().encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["a" * 100_000, " " * 100_000, "\n \t" * 30_000, "^" * 50_000, "1" * 70_000, "é\u200d" * 20_000])
+def test_ids_of_very_long_runs(text):
+    assert pack._encoder(None, None)(text).tolist() == slow().encode(text, add_special_tokens=False).ids
 
 
 def check_places(rows, capacity):
