@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwise.llm.arrow import pieces
+from cohortwise.session import materialize
 
 UNKNOWN = "und"
 # Bytes of a window; the last window of a text is filled up with zeros.
@@ -134,22 +135,39 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def first_by_hash(rows: DataFrame, quota: int) -> DataFrame:
+    """The ``quota`` first rows of each label of (label, deal) by ``deal``, a hash.
+
+    Of a label with many more rows, only those whose hash is small enough for
+    about four times the quota are ranked, so no task sees more than that.
+    """
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    steps = 1 << 40
+    share = F.lit(0)
+    for label, count in counts.items():
+        share = F.when(F.col("label") == label, F.lit(min(steps, 4 * steps * quota // count))).otherwise(share)
+    few = rows.filter(F.pmod(F.xxhash64("deal"), F.lit(steps)) < share)
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("deal"))
+    return materialize(few.withColumn("rank", rank).filter(F.col("rank") <= quota), "chosen")
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = SAMPLE_ROWS) -> ByteConvNet | None:
     """Fit on a sample of at most ``rows`` labelled rows that are not held out (None if there are none).
 
     The sample takes rows in the order of a hash of id and text, as many of each label as fit evenly, and
-    up to ``SAMPLE_WINDOWS`` windows spread over each text, so what reaches the driver is bounded.
+    up to ``SAMPLE_WINDOWS`` windows spread over each text, so what reaches the driver is bounded. Rows are
+    chosen from their hashes alone; only the chosen ones' bytes leave their place.
     """
     known = docs.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (F.length(text_col) > 0))
-    classes = sorted(r[0] for r in known.select(label_col).distinct().collect())
+    known = known.select(F.col(label_col).alias("label"), F.xxhash64(id_col, text_col).alias("deal"), F.col(text_col).cast("binary").alias("raw"))
+    classes = sorted(r[0] for r in known.select("label").distinct().collect())
     if not classes:
         return None
-    chunk = F.greatest(F.floor((F.octet_length(text_col) - WINDOW) / SAMPLE_WINDOWS), F.lit(0))
-    raw = F.col(text_col).cast("binary")
-    cuts = [F.substring(raw, (chunk * k + 1).cast("int"), F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)]
-    thin = known.select(F.col(label_col).alias("label"), F.xxhash64(id_col, text_col).alias("deal"), F.array_distinct(F.array(*cuts)).alias("cuts"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("deal"))
-    picked = thin.withColumn("rank", rank).filter(F.col("rank") <= max(1, rows // len(classes))).orderBy("label", "rank").collect()
+    chosen = first_by_hash(known.select("label", "deal").distinct(), max(1, rows // len(classes)))
+    chunk = F.greatest(F.floor((F.octet_length("raw") - WINDOW) / SAMPLE_WINDOWS), F.lit(0))
+    cuts = [F.substring("raw", (chunk * k + 1).cast("int"), F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)]
+    thin = known.select("label", "deal", F.array_distinct(F.array(*cuts)).alias("cuts"))
+    picked = thin.join(F.broadcast(chosen), ["label", "deal"]).orderBy("label", "rank").limit(rows).collect()
     pairs = [(bytes(c), classes.index(r["label"])) for r in picked for c in r["cuts"] if len(c)]
     grid, _ = windows([c for c, _ in pairs])
     return ByteConvNet.fresh(classes).fit(grid, np.array([n for _, n in pairs]))

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.llm.arrow import pieces
-from cohortwise.llm.langid import held_out
+from cohortwise.llm.langid import first_by_hash, held_out
 
 # A passage is this many bytes; the last one of a text may be shorter. An empty text is one empty passage.
 PASSAGE = 512
@@ -115,21 +115,24 @@ class GatedAttention:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS) -> GatedAttention | None:
-    """Fit on at most ``rows`` labelled rows that are not held out, in the order of a hash of the text (None if there are none).
+    """Fit on at most ``rows`` labelled rows that are not held out, in the order of a hash of the id (None if there are none).
 
-    Both labels get half of the sample as far as there are enough; the loss is
-    not reweighted, so scores are a little low where one label is rare, which
-    the threshold allows for. A document with several labels counts with each.
+    Each label gets half of the sample as far as it has enough. Labels are
+    chosen first, from narrow rows; only the chosen documents' bytes leave
+    their place. The loss is not reweighted, so scores are a little low where
+    one label is rare, which the threshold allows for. A document with several
+    labels counts with each.
     """
     known = labels.filter(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    dealt = known.withColumn("deal", F.xxhash64("id"))
+    chosen = first_by_hash(dealt, rows // 2).drop("rank")
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     half = SAMPLE_BYTES // 3
     middle = F.greatest(F.floor(F.octet_length(raw) / 2), F.lit(half)).cast("int")
     last = F.greatest(F.octet_length(raw) - half, middle + half).cast("int")
     cut = F.concat(F.substring(raw, 1, half), F.substring(raw, middle + 1, F.lit(half)), F.substring(raw, last + 1, F.lit(half)))
-    thin = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col, id_col).alias("deal"), cut.alias("cut"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("deal"))
-    picked = thin.join(known, "id").withColumn("rank", rank).filter(F.col("rank") <= rows // 2).orderBy("deal", "label").collect()
+    thin = docs.select(F.col(id_col).alias("id"), F.col(text_col)).join(F.broadcast(chosen), "id")
+    picked = thin.select("label", cut.alias("cut"), "deal").orderBy("deal", "label", "cut").limit(rows).collect()
     if not picked:
         return None
     texts = [bytes(r["cut"]) for r in picked]
