@@ -126,27 +126,17 @@ def combinations(grid: dict[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def _spark_params(params: dict, rows: int) -> dict:
-    """Inverse regularisation ``C`` becomes ``regParam``."""
-    out = dict(params)
-    if "C" in out:
-        out["regParam"] = 1.0 / (out.pop("C") * max(rows, 1))
-    return out
-
-
 def _search_native(spec: zoo.ModelSpec, frame: DataFrame, options: list[dict], k: int, parallel: int):
-    rows = frame.count() if any("C" in o for o in options) else 0
-    estimator = zoo.native_estimator(spec)
-    mapped = [_spark_params(o, rows) for o in options]
-    maps = [{estimator.getParam(n): v for n, v in o.items()} for o in mapped]
+    rows = frame.count()
+    estimator = zoo.native_estimator(spec, rows)
+    maps = [{estimator.getParam(n): v for n, v in zoo.spark_params(o, rows).items()} for o in options]
     validator = CrossValidator(
         estimator=estimator, estimatorParamMaps=maps or ParamGridBuilder().build(), numFolds=k, foldCol=FOLD,
         evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy"), parallelism=parallel,
     )
     fitted = validator.fit(frame)
     best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
-    tuned = spec.with_params(**mapped[best])
-    return zoo.NativeFitted(tuned, fitted.bestModel), mapped[best], fitted.avgMetrics
+    return zoo.NativeFitted(spec.with_params(**options[best]), fitted.bestModel), options[best], fitted.avgMetrics
 
 
 def _search_custom(spec: zoo.ModelSpec, frame: DataFrame, options: list[dict], k: int, parallel: int):
@@ -167,11 +157,13 @@ def tune(
     """Search each model's grid by cross-validation.
 
     With ``n_iter`` only that many seeded random combinations are tried. A
-    model without a grid, or whose search fails, stays as it is. Returns the
-    models and a table ``(model, params, cv_mean, best)``.
+    model without a grid, or whose parameters don't fit it, stays as it is.
+    Returns the models and a table ``(model, params, cv_mean, best, failed)``;
+    a model that could not be fitted or searched has one row with the reason.
     """
     spark = frame.sparkSession
-    tuned, rows = {}, []
+    tuned, rows = zoo.Fits(), []
+    tuned.failed = dict(getattr(models, "failed", {}))
     for name, model in models.items():
         tuned[name] = model
         if name not in grids:
@@ -183,12 +175,14 @@ def tune(
         search = _search_custom if model.spec.kind in zoo.CUSTOM else _search_native
         try:
             tuned[name], chosen, means = search(model.spec, frame, options, k, parallel)
-        except Exception as error:
+        except zoo.PARAMETER_ERRORS as error:
             log.error("search for %s failed: %s", name, error)
+            tuned.failed[name] = str(error).splitlines()[0]
             continue
         best = max(range(len(means)), key=lambda i: means[i])
-        rows += [(name, str(o), float(m), int(i == best)) for i, (o, m) in enumerate(zip(options, means))]
-    table = small_table(spark, rows, "model string, params string, cv_mean double, best int")
+        rows += [(name, str(o), float(m), int(i == best), None) for i, (o, m) in enumerate(zip(options, means))]
+    rows += [(name, None, None, 0, reason) for name, reason in tuned.failed.items()]
+    table = small_table(spark, rows, "model string, params string, cv_mean double, best int, failed string")
     return tuned, table
 
 
@@ -213,22 +207,43 @@ class Stacked(zoo.Fitted):
         scored = self.final.score(stacked.select("__own", "values", FEATURES))
         return scored.select("__own.*", "prob", "prediction")
 
+    def _save_parts(self, spark, path):
+        for i, base in enumerate(self.bases.values()):
+            base.save(spark, f"{path}/base{i}")
+        self.final.save(spark, f"{path}/final")
+        return {"names": list(self.bases)}
+
+
+def _load_stacked(spark: SparkSession, path: str, spec: zoo.ModelSpec, state: dict) -> Stacked:
+    bases = {name: zoo.load(spark, f"{path}/base{i}") for i, name in enumerate(state["names"])}
+    return Stacked(spec, bases, zoo.load(spark, f"{path}/final"))
+
 
 def fit_stacked(
     name: str, bases: Sequence[zoo.ModelSpec], final: zoo.ModelSpec, frame: DataFrame, key: str, k: int = 5
 ) -> Stacked:
     """Train the final model on out-of-fold probabilities, the bases on all rows."""
-    long = None
-    for spec in bases:
-        part = out_of_fold_scores(spec, frame, k).select(key, LABEL, F.lit(spec.name).alias("model"), "prob")
-        long = part if long is None else long.unionByName(part)
     names = [s.name for s in bases]
-    wide = long.groupBy(key, LABEL).pivot("model", names).agg(F.first("prob"))
-    meta = model_frame(wide, names, LABEL)
+    meta = model_frame(base_scores(bases, frame, k).select(key, LABEL, *names), names, LABEL)
     fitted = {spec.name: zoo.fit(spec, frame) for spec in bases}
     return Stacked(zoo.ModelSpec(name, "stacked"), fitted, zoo.fit(final, meta))
 
 
+def base_scores(bases: Sequence[zoo.ModelSpec], frame: DataFrame, k: int) -> DataFrame:
+    """Each row with one column per model: the probability from the model that did not see its fold.
+
+    A fold is scored by all models in one projection and folds are put together, so nothing is shuffled.
+    """
+    out = None
+    for i in range(k):
+        part = frame.filter(F.col(FOLD) == i)
+        for spec in bases:
+            kept = part.columns
+            part = zoo.fit(spec, frame.filter(F.col(FOLD) != i)).score(part).select(*kept, F.col("prob").alias(spec.name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 class Voting(zoo.Fitted):
     """Plain or weighted mean of the models' probabilities."""
 
@@ -245,6 +260,29 @@ class Voting(zoo.Fitted):
         terms = [F.col(f"__p_{n}") * F.lit(self.weights[n] / total) for n in self.models]
         return zoo._decided(current.select(*frame.columns, sum(terms[1:], terms[0]).alias("prob")))
 
+    def _save_parts(self, spark, path):
+        for i, model in enumerate(self.models.values()):
+            model.save(spark, f"{path}/model{i}")
+        return {"names": list(self.models), "weights": self.weights}
+
+
+def _load_voting(spark: SparkSession, path: str, spec: zoo.ModelSpec, state: dict) -> Voting:
+    models = {name: zoo.load(spark, f"{path}/model{i}") for i, name in enumerate(state["names"])}
+    return Voting(spec, models, state["weights"])
+
+
+zoo.COMPOSITE.update(stacked=_load_stacked, voting=_load_voting)
+
+
+def ensemble_cv(bases: Sequence[zoo.ModelSpec], final: zoo.ModelSpec, frame: DataFrame, k: int) -> dict[str, list[float]]:
+    """Accuracy on each fold of the plain vote and of the final model, both on scores of models that did not see the fold."""
+    names = [s.name for s in bases]
+    scores = materialize(base_scores(bases, frame, k).select(LABEL, FOLD, *names), "base-scores")
+    vote = sum([F.col(n) for n in names[1:]], F.col(names[0])) / len(names)
+    right = ((vote > 0.5).cast("int") == F.col(LABEL)).cast("double")
+    voted = {r[FOLD]: r["right"] for r in scores.groupBy(FOLD).agg(F.avg(right).alias("right")).collect()}
+    return {"voting": [voted[i] for i in sorted(voted)], "stacked": cross_validate(final, model_frame(scores, names, LABEL, keep=[FOLD]), k)}
+
 
 # --- keeping models --------------------------------------------------------
 

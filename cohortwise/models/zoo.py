@@ -10,10 +10,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import classification as C
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwise.models.frame import FEATURES, LABEL
@@ -55,8 +56,21 @@ _LOADERS = {
 }
 
 
-def native_estimator(spec: ModelSpec):
-    params = dict(spec.params)
+# What wrong parameters raise; anything else is a fault of the job and goes on to the caller.
+PARAMETER_ERRORS = (IllegalArgumentException, ValueError, TypeError, KeyError, AttributeError)
+
+
+def spark_params(params: dict, rows: int) -> dict:
+    """Inverse regularisation ``C`` over ``rows`` rows becomes ``regParam``."""
+    out = dict(params)
+    if "C" in out:
+        out["regParam"] = 1.0 / (out.pop("C") * max(rows, 1))
+    return out
+
+
+def native_estimator(spec: ModelSpec, rows: int = 0):
+    """``rows`` is the number of training rows; only ``C`` needs it."""
+    params = spark_params(spec.params, rows)
     if spec.kind in _SEEDED:
         params.setdefault("seed", SEED)
     return NATIVE[spec.kind](featuresCol=FEATURES, labelCol=LABEL, **params)
@@ -195,11 +209,10 @@ class AdaFitted(Fitted):
         self.spec, self.trees, self.alphas = spec, trees, alphas
 
     def score(self, frame: DataFrame) -> DataFrame:
-        scored = _votes(self.trees, frame)
         total = sum(self.alphas) or 1.0
-        signed = [F.lit(a) * (2 * F.col(f"__t{i}") - 1) for i, a in enumerate(self.alphas)]
+        signed = [F.lit(a) * (2 * _vote(tree) - 1) for a, tree in zip(self.alphas, self.trees)]
         decision = sum(signed[1:], signed[0]) / total
-        return _decided(scored.select(*frame.columns, (1.0 / (1.0 + F.exp(-decision))).alias("prob")))
+        return _decided(frame.select(*frame.columns, (1.0 / (1.0 + F.exp(-decision))).alias("prob")))
 
     def _save_parts(self, spark, path):
         for i, tree in enumerate(self.trees):
@@ -207,11 +220,17 @@ class AdaFitted(Fitted):
         return {"alphas": self.alphas}
 
 
-def _votes(trees: Sequence, frame: DataFrame, start: int = 0) -> DataFrame:
-    for i, tree in enumerate(trees, start):
-        columns = frame.columns
-        frame = tree.transform(frame).select(*columns, F.col("prediction").alias(f"__t{i}"))
-    return frame
+def _vote(tree) -> Column:
+    """A tree's prediction as one expression over the value array, so that many trees are one projection."""
+
+    def branch(node) -> Column:
+        if node.subtreeDepth() == 0:
+            return F.lit(float(node.prediction()))
+        split = node.split()
+        left = F.col("values")[split.featureIndex()] <= split.threshold()
+        return F.when(left, branch(node.leftChild())).otherwise(branch(node.rightChild()))
+
+    return branch(tree._call_java("rootNode"))
 
 
 def fit_ada(spec: ModelSpec, frame: DataFrame) -> AdaFitted:
@@ -228,7 +247,7 @@ def fit_ada(spec: ModelSpec, frame: DataFrame) -> AdaFitted:
         tree = C.DecisionTreeClassifier(
             featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", maxDepth=depth, seed=SEED
         ).fit(current)
-        voted = tree.transform(current).select(*current.columns, (F.col("prediction") != F.col(LABEL)).cast("double").alias("__miss"))
+        voted = current.withColumn("__miss", (_vote(tree) != F.col(LABEL)).cast("double"))
         sums = voted.agg(
             F.sum(F.col("__w") * F.col("__miss")).alias("wrong"), F.sum("__w").alias("all"), F.count(F.lit(1)).alias("n")
         ).first()
@@ -252,43 +271,47 @@ def fit_ada(spec: ModelSpec, frame: DataFrame) -> AdaFitted:
 
 # --- nearest neighbours ----------------------------------------------------
 
-# Up to this many distinct training points are shipped to the tasks as they
-# are; a larger training set is summarised by cluster centres first.
-MAX_POINTS = 20_000
+# Labelled points that "nearest" may keep: a bound on the sample it is fitted
+# on, not on the rows it scores. "prototypes" always keeps cluster centres.
+FIT_POINTS = 20_000
 
 
 class KnnFitted(Fitted):
-    """Distance-weighted vote of the nearest training points."""
+    """Distance-weighted vote of the nearest training points (``sampled`` tells whether more points were there)."""
 
-    def __init__(self, spec: ModelSpec, points: np.ndarray, counts: np.ndarray, positives: np.ndarray):
-        self.spec, self.points, self.counts, self.positives = spec, points, counts, positives
+    def __init__(self, spec: ModelSpec, points: np.ndarray, counts: np.ndarray, positives: np.ndarray, sampled: bool = False):
+        self.spec, self.points, self.counts, self.positives, self.sampled = spec, points, counts, positives, sampled
 
     def score(self, frame: DataFrame) -> DataFrame:
-        vote = _knn_vote(
-            self.points, self.counts, self.positives, self.spec.params.get("k", 7), self.spec.params.get("weights", "distance")
-        )
+        shared = frame.sparkSession.sparkContext.broadcast((self.points, self.counts, self.positives))
+        vote = _knn_vote(shared, self.spec.params.get("k", 7), self.spec.params.get("weights", "distance"), self.spec.params.get("metric", "euclidean"))
         return _decided(frame.withColumn("prob", vote("values")))
 
     def _save_parts(self, spark, path):
         rows = [(p.tolist(), float(c), float(y)) for p, c, y in zip(self.points, self.counts, self.positives)]
         spark.createDataFrame(rows, "point array<double>, n double, y double").write.mode("overwrite").parquet(f"{path}/points")
-        return {}
+        return {"sampled": self.sampled}
 
 
-def _knn_vote(points: np.ndarray, counts: np.ndarray, positives: np.ndarray, k: int, weights: str):
-    squares = (points**2).sum(axis=1)
-    share = positives / counts
+def _knn_vote(shared, k: int, weights: str, metric: str):
+    """Vote of the ``k`` nearest points, by Euclidean or Manhattan distance."""
 
     @F.pandas_udf("double")
     def vote(values: pd.Series) -> pd.Series:
         if values.empty:
             return pd.Series([], dtype="float64")
+        points, counts, positives = shared.value
+        squares, share = (points**2).sum(axis=1), positives / counts
         queries = np.stack(values.to_numpy())
         out = np.empty(len(queries))
         near = min(k, len(points))
-        for start in range(0, len(queries), 512):
-            block = queries[start : start + 512]
-            d2 = np.maximum((block**2).sum(axis=1)[:, None] - 2 * block @ points.T + squares, 0.0)
+        rows = 512 if metric == "euclidean" else max(1, (1 << 22) // points.size)
+        for start in range(0, len(queries), rows):
+            block = queries[start : start + rows]
+            if metric == "euclidean":
+                d2 = np.maximum((block**2).sum(axis=1)[:, None] - 2 * block @ points.T + squares, 0.0)
+            else:
+                d2 = np.abs(block[:, None] - points[None]).sum(axis=2) ** 2
             pick = np.argpartition(d2, near - 1, axis=1)[:, :near]
             dist = np.sqrt(np.take_along_axis(d2, pick, 1))
             order = np.argsort(dist, axis=1, kind="stable")
@@ -300,51 +323,71 @@ def _knn_vote(points: np.ndarray, counts: np.ndarray, positives: np.ndarray, k:
                 weight = np.where(exact.any(axis=1)[:, None], exact.astype(float), 1.0 / np.maximum(dist, 1e-9))
             else:
                 weight = np.ones_like(dist)
-            out[start : start + 512] = (taken * weight * share[pick]).sum(axis=1) / (taken * weight).sum(axis=1)
+            out[start : start + rows] = (taken * weight * share[pick]).sum(axis=1) / (taken * weight).sum(axis=1)
         return pd.Series(out)
 
     return vote
 
 
-def fit_knn(spec: ModelSpec, frame: DataFrame) -> KnnFitted:
-    limit = spec.params.get("max_points", MAX_POINTS)
-    distinct = materialize(
-        frame.groupBy("values").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(LABEL).cast("double").alias("y")), "points"
-    )
-    if distinct.limit(limit + 1).count() > limit:
-        weighted = distinct.withColumn(FEATURES, array_to_vector("values"))
-        centres = KMeans(
-            k=spec.params.get("prototypes", 500), seed=SEED, featuresCol=FEATURES, weightCol="n",
-            maxIter=spec.params.get("maxIter", 10), predictionCol="__c",
-        ).fit(weighted)
-        places = centres.clusterCenters()
-        rows = centres.transform(weighted).groupBy("__c").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect()
-        points = np.array([places[r["__c"]] for r in rows])
-    else:
-        rows = distinct.collect()  # at most ``limit`` rows, checked above
-        points = np.array([r["values"] for r in rows])
-    return KnnFitted(spec, points, np.array([r["n"] for r in rows]), np.array([r["y"] for r in rows]))
+def _distinct_points(frame: DataFrame) -> DataFrame:
+    counts = frame.groupBy("values").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(LABEL).cast("double").alias("y"))
+    return materialize(counts, "points")
+
+
+def fit_nearest(spec: ModelSpec, frame: DataFrame) -> KnnFitted:
+    """Keep the distinct training points, at most ``fit_points`` of them: the first by a hash of their values."""
+    limit = spec.params.get("fit_points", FIT_POINTS)
+    distinct = _distinct_points(frame)
+    rows = distinct.orderBy(F.xxhash64("values"), "values").limit(limit).collect()
+    columns = [np.array([r[c] for r in rows]) for c in ("values", "n", "y")]
+    return KnnFitted(spec, *columns, sampled=distinct.count() > limit)
+
+
+def fit_prototypes(spec: ModelSpec, frame: DataFrame) -> KnnFitted:
+    """Summarise the training points by ``prototypes`` cluster centres, each with the rows and labels of its cluster."""
+    weighted = _distinct_points(frame).withColumn(FEATURES, array_to_vector("values"))
+    centres = KMeans(
+        k=spec.params.get("prototypes", 500), seed=SEED, featuresCol=FEATURES, weightCol="n",
+        maxIter=spec.params.get("maxIter", 10), predictionCol="__c",
+    ).fit(weighted)
+    places = centres.clusterCenters()
+    rows = centres.transform(weighted).groupBy("__c").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect()
+    return KnnFitted(spec, np.array([places[r["__c"]] for r in rows]), np.array([r["n"] for r in rows]), np.array([r["y"] for r in rows]))
 
 
 # --- fitting and loading ---------------------------------------------------
 
-CUSTOM: dict[str, Callable[[ModelSpec, DataFrame], Fitted]] = {"svc": fit_svc, "ada_boost": fit_ada, "nearest": fit_knn}
+CUSTOM: dict[str, Callable[[ModelSpec, DataFrame], Fitted]] = {
+    "svc": fit_svc, "ada_boost": fit_ada, "nearest": fit_nearest, "prototypes": fit_prototypes,
+}
+# Kinds made of other models add how they are read here.
+COMPOSITE: dict[str, Callable[[SparkSession, str, ModelSpec, dict], Fitted]] = {}
 
 
 def fit(spec: ModelSpec, frame: DataFrame) -> Fitted:
     if spec.kind in CUSTOM:
         return CUSTOM[spec.kind](spec, frame)
-    return NativeFitted(spec, native_estimator(spec).fit(frame))
+    rows = frame.count() if "C" in spec.params else 0
+    return NativeFitted(spec, native_estimator(spec, rows).fit(frame))
 
 
-def fit_all(specs: Sequence[ModelSpec], frame: DataFrame) -> dict[str, Fitted]:
-    """Fit every model; one that fails is logged and left out."""
-    fitted = {}
+class Fits(dict):
+    """Fitted models by name; ``failed`` has the reason for each that its parameters ruled out."""
+
+    def __init__(self):
+        super().__init__()
+        self.failed: dict[str, str] = {}
+
+
+def fit_all(specs: Sequence[ModelSpec], frame: DataFrame) -> Fits:
+    """Fit every model. Wrong parameters are reported in ``failed``; any other error, such as a lost cluster, is raised."""
+    fitted = Fits()
     for spec in specs:
         try:
             fitted[spec.name] = fit(spec, frame)
-        except Exception as error:
+        except PARAMETER_ERRORS as error:
             log.error("could not fit %s: %s", spec.name, error)
+            fitted.failed[spec.name] = str(error).splitlines()[0]
     return fitted
 
 
@@ -357,10 +400,13 @@ def load(spark: SparkSession, path: str) -> Fitted:
     if spec.kind == "ada_boost":
         trees = [C.DecisionTreeClassificationModel.load(f"{path}/tree{i}") for i in range(len(state["alphas"]))]
         return AdaFitted(spec, trees, state["alphas"])
-    if spec.kind == "nearest":
+    if spec.kind in COMPOSITE:
+        return COMPOSITE[spec.kind](spark, path, spec, state)
+    if spec.kind in ("nearest", "prototypes"):
         rows = spark.read.parquet(f"{path}/points").collect()  # bounded when it was written
         return KnnFitted(
-            spec, np.array([r["point"] for r in rows]), np.array([r["n"] for r in rows]), np.array([r["y"] for r in rows])
+            spec, np.array([r["point"] for r in rows]), np.array([r["n"] for r in rows]), np.array([r["y"] for r in rows]),
+            state.get("sampled", False),
         )
     return NativeFitted(spec, _LOADERS[spec.kind].load(f"{path}/model"))
 
@@ -370,12 +416,12 @@ def load(spark: SparkSession, path: str) -> Fitted:
 # boosted trees and random forest.
 DEFAULT_MODELS = [
     ModelSpec("RandomForest", "random_forest", {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2}),
-    ModelSpec("LogisticRegression", "logistic", {"maxIter": 1000}),
+    ModelSpec("LogisticRegression", "logistic", {"maxIter": 1000, "C": 1.0}),
     ModelSpec("SVM", "svc", {"kernel": "rbf", "C": 1.0, "gamma": "scale"}),
 ]
 BASE_MODELS = [
     ModelSpec("RandomForest", "random_forest", {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 2}),
-    ModelSpec("LogisticRegression", "logistic", {"maxIter": 2000}),
+    ModelSpec("LogisticRegression", "logistic", {"maxIter": 2000, "C": 1.0}),
     ModelSpec("SVM", "svc", {"kernel": "rbf", "C": 1.0, "gamma": "scale"}),
     ModelSpec("KNN", "nearest", {"k": 7, "weights": "distance"}),
     ModelSpec("NaiveBayes", "gaussian_nb"),
@@ -383,14 +429,12 @@ BASE_MODELS = [
     ModelSpec("AdaBoost", "ada_boost", {"rounds": 100, "learning_rate": 1.0}),
     ModelSpec("GradientBoosting", "boosted_trees", {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6}),
 ]
-BOOSTER_MODELS = [
-    ModelSpec(name, "boosted_trees", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 6, "subsamplingRate": 0.8})
-    for name in ("XGBoost", "LightGBM", "CatBoost")
-]
+# The three booster libraries are one estimator here, so they are one entry: three would be one vote counted three times.
+BOOSTER_MODELS = [ModelSpec("BoostedTrees", "boosted_trees", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 6, "subsamplingRate": 0.8})]
 ENSEMBLE_MODELS = [
     ModelSpec("RandomForest", "random_forest", {"numTrees": 200, "maxDepth": 7, "minInstancesPerNode": 3}),
     ModelSpec("GradientBoosting", "boosted_trees", {"maxIter": 150, "stepSize": 0.1, "maxDepth": 5}),
-    ModelSpec("LogisticRegression", "logistic", {"maxIter": 1000}),
+    ModelSpec("LogisticRegression", "logistic", {"maxIter": 1000, "C": 1.0}),
     ModelSpec("SVM", "svc", {"kernel": "rbf"}),
 ]
 RULE_ENSEMBLE_MODELS = [
@@ -400,6 +444,6 @@ RULE_ENSEMBLE_MODELS = [
 FINAL_ENSEMBLE_MODELS = [
     ModelSpec("BoostedTrees", "boosted_trees", {"maxIter": 300, "stepSize": 0.03, "maxDepth": 7, "subsamplingRate": 0.8}),
     ModelSpec("RandomForest", "random_forest", {"numTrees": 400, "maxDepth": 10, "minInstancesPerNode": 1}),
-    ModelSpec("LogisticRegression", "logistic", {"maxIter": 2000}),
+    ModelSpec("LogisticRegression", "logistic", {"maxIter": 2000, "C": 0.5}),
 ]
 SMALL_MODEL = ModelSpec("SmallBoostedTrees", "boosted_trees", {"maxIter": 150, "stepSize": 0.1, "maxDepth": 5})

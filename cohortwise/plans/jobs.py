@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortwise.functions import numeric as N
 from cohortwise.functions import text as X
 from cohortwise.models import search, zoo
-from cohortwise.models.frame import FOLD, LABEL, model_frame
+from cohortwise.models.frame import FOLD, LABEL, model_frame, vectorize
 from cohortwise.operators import metrics as M
 from cohortwise.operators import rules as R
 from cohortwise.operators.cohort import exploration_report
@@ -46,10 +46,14 @@ def check_table(df: DataFrame, roles: Roles, domains: dict[str, Sequence], train
     return validate(df, TableRules(roles.key, required, kept, [roles.age, roles.a, roles.b, roles.fare]))
 
 
-def _parts(df: DataFrame, roles: Roles) -> tuple[DataFrame, DataFrame]:
+def _parts(df: DataFrame, roles: Roles, root: str) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows. The validation keys are kept under ``root``, so that rows
+    added later can't move a trained row among those that :func:`evaluate` holds out."""
     marked = materialize(stratified_split(df, roles.key, roles.label, TEST_SHARE, name="__part"), "split")
     keep = [c for c in marked.columns if c != "__part"]
-    return marked.filter("__part = 'train'").select(*keep), marked.filter("__part = 'test'").select(*keep)
+    training, validation = (marked.filter(F.col("__part") == part).select(*keep) for part in ("train", "test"))
+    validation.select(roles.key).write.mode("overwrite").parquet(f"{root}/held_out")
+    return training, validation
 
 
 def train(
@@ -66,7 +70,7 @@ def train(
     """Split, fit features on the training part only, train and tune models,
     keep the best under ``root``."""
     spark = df.sparkSession
-    training, validation = _parts(df, roles)
+    training, validation = _parts(df, roles, root)
     features = (features or BasicFeatures(roles)).fit(training)
     folded = assign_folds(features.transform(training), "id", "label", k, name=FOLD)
     frame = model_frame(folded, features.names, "label", keep=["id", FOLD])
@@ -87,9 +91,9 @@ def train(
 
 def run_complete_training(df: DataFrame, root: str, roles: Roles, specs, grids, n_iter: int | None, final: zoo.ModelSpec,
                           min_accuracy: float = 0.9, k: int = 5, features=None) -> dict:
-    """Base models, tuning, voting and stacking, comparison of all of them."""
+    """Base models, tuning, voting and stacking; the best of all of them, ensembles too, is the one stored and reported."""
     spark = df.sparkSession
-    training, validation = _parts(df, roles)
+    training, validation = _parts(df, roles, root)
     features = (features or BasicFeatures(roles)).fit(training)
     folded = assign_folds(features.transform(training), "id", "label", k, name=FOLD)
     frame = model_frame(folded, features.names, "label", keep=["id", FOLD])
@@ -99,20 +103,21 @@ def run_complete_training(df: DataFrame, root: str, roles: Roles, specs, grids,
     ensembles = {"VotingEnsemble": search.Voting(zoo.ModelSpec("VotingEnsemble", "voting"), tuned)}
     bases = [m.spec for m in tuned.values()]
     ensembles["StackingEnsemble"] = search.fit_stacked("StackingEnsemble", bases, final, frame, "id", k)
+    cv = search.ensemble_cv(bases, final, frame, k)
     rows = []
     for name, model in ensembles.items():
+        folds = search.summary(cv[model.spec.kind])
         scored = materialize(model.score(held_out), "scored")
         metrics = M.binary_metrics(scored, LABEL, "prediction").first()
         auc = M.roc_auc(scored, LABEL, "prob").first()["auc"]
-        rows.append((name, *[metrics[c] for c in ("accuracy", "precision", "recall", "f1_score")], auc, None, None, "Ensemble"))
+        rows.append((name, *[metrics[c] for c in ("accuracy", "precision", "recall", "f1_score")], auc, folds["cv_mean"], folds["cv_std"], "Ensemble"))
     results = materialize(results.unionByName(spark.createDataFrame(rows, results.schema)), "results")
     best = M.select_best(results, min_accuracy).first()
     save_fitted(features, f"{root}/features", spark)
-    base_results = results.filter("model_type = 'Base'")
-    kept = M.select_best(base_results, min_accuracy).first()
-    search.save_best(spark, tuned[kept["model"]], f"{root}/models", kept["accuracy"], min_accuracy, True)
+    chosen = {**tuned, **ensembles}[best["model"]]
+    path = search.save_best(spark, chosen, f"{root}/models", best["accuracy"], min_accuracy, True)
     return {"model": best["model"], "accuracy": best["accuracy"], "meets_threshold": bool(best["meets_threshold"]),
-            "results": results, "tried": tried}
+            "results": results, "tried": tried, "path": path}
 
 
 def predict(df: DataFrame, root: str, out: str, roles: Roles = Roles(), model: str | None = None, fmt: str = "csv") -> dict:
@@ -135,13 +140,13 @@ def score_table(df: DataFrame, root: str, model: str | None = None) -> DataFrame
     fitted = search.latest_model(spark, f"{root}/models", model)
     matrix = features.transform(df)
     keep = ["id", "label"] if "label" in matrix.columns else ["id"]
-    return fitted.score(model_frame(matrix, features.names, keep=keep)).select(*keep, "prob", "prediction")
+    return fitted.score(vectorize(matrix, features.names, keep=keep)).select(*keep, "prob", "prediction")
 
 
 def evaluate(df: DataFrame, root: str, roles: Roles = Roles(), model: str | None = None, min_accuracy: float = MIN_ACCURACY) -> dict:
     """Metrics of the stored model on the rows training held out."""
     spark = df.sparkSession
-    _, validation = _parts(df, roles)
+    validation = df.join(spark.read.parquet(f"{root}/held_out"), roles.key, "left_semi")
     scored = materialize(score_table(validation, root, model), "scored")
     features = load_fitted(f"{root}/features", spark)
     fitted = search.latest_model(spark, f"{root}/models", model)

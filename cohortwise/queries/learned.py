@@ -1,5 +1,4 @@
-"""Models, search, ensembles and jobs. Parameters are smaller than the model
-sets' own so that all queries finish in a short check; every row is used."""
+"""Models, search, ensembles and jobs, with the model sets' own parameters."""
 
 from pyspark.sql import functions as F
 
@@ -99,8 +98,7 @@ def nb_gaussian_scores(spark, sf):
 def model_fit_default(spark, sf):
     """The three default models, trained on the training part, scored on the rest."""
     train, test = _held_out(_small(spark, sf, 5))
-    specs = [zoo.DEFAULT_MODELS[0].with_params(numTrees=20), zoo.DEFAULT_MODELS[1].with_params(maxIter=50), zoo.DEFAULT_MODELS[2]]
-    models = zoo.fit_all(specs, train)
+    models = zoo.fit_all(zoo.DEFAULT_MODELS, train)
     scored = None
     for name, model in models.items():
         part = model.score(test).select("id", LABEL, F.lit(name).alias("model"), "prob", "prediction")
@@ -112,11 +110,7 @@ def model_fit_default(spark, sf):
 def model_zoo(spark, sf):
     """All base kinds, each with its held-out metrics."""
     train, test = _held_out(_small(spark, sf, 5))
-    smaller = {
-        "RandomForest": {"numTrees": 10}, "LogisticRegression": {"maxIter": 20}, "SVM": {"components": 32, "maxIter": 20},
-        "AdaBoost": {"rounds": 6}, "GradientBoosting": {"maxIter": 5, "maxDepth": 3}, "XGBoost": {"maxIter": 5, "maxDepth": 3},
-    }
-    specs = [s.with_params(**smaller.get(s.name, {})) for s in [*zoo.BASE_MODELS, zoo.BOOSTER_MODELS[0]]]
+    specs = [*zoo.BASE_MODELS, *zoo.BOOSTER_MODELS]
     scored = None
     for name, model in zoo.fit_all(specs, train).items():
         part = model.score(test).select(LABEL, F.lit(name).alias("model"), "prediction")
@@ -126,8 +120,8 @@ def model_zoo(spark, sf):
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    frame = _small(spark, sf)
-    return search.cv_table(spark, {s.name: search.cross_validate(s, frame, 3) for s in (_LOGISTIC, _TREE)})
+    frame = _small(spark, sf, 5)
+    return search.cv_table(spark, {s.name: search.cross_validate(s, frame, 5) for s in zoo.DEFAULT_MODELS})
 
 
 @query("evaluate_models")
@@ -140,44 +134,46 @@ def evaluate_models(spark, sf):
 @query("knn_prototypes")
 def knn_prototypes(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))
-    spec = zoo.ModelSpec("KNN", "nearest", {"k": 7, "max_points": 2000, "prototypes": 100, "maxIter": 5})
+    spec = zoo.ModelSpec("KNN", "prototypes", {"k": 7})
     return zoo.fit(spec, train).score(test).select("id", LABEL, "prob", "prediction")
 
 
 @query("adaboost_weighted")
 def adaboost_weighted(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))
-    spec = zoo.ModelSpec("AdaBoost", "ada_boost", {"rounds": 8, "checkpoint_every": 4})
+    spec = next(m for m in zoo.BASE_MODELS if m.name == "AdaBoost")
     return zoo.fit(spec, train).score(test).select("id", LABEL, "prob", "prediction")
 
 
 @query("svc_rff")
 def svc_rff(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))
-    return zoo.fit(zoo.ModelSpec("SVM", "svc", {"maxIter": 20}), train).score(test).select("id", LABEL, "prob", "prediction")
+    return zoo.fit(zoo.DEFAULT_MODELS[2], train).score(test).select("id", LABEL, "prob", "prediction")
 
 
 @query("grid_search")
 def grid_search(spark, sf):
-    frame = _small(spark, sf)
-    grids = {"LogisticRegression": {"C": [0.1, 10.0], "elasticNetParam": [0.0]}, "DecisionTree": {"maxDepth": [2, 5]}}
-    return search.tune(zoo.fit_all([_LOGISTIC, _TREE], frame), frame, grids, 3)[1]
+    """The whole declared grids of two models, on five folds."""
+    frame = _small(spark, sf, 5)
+    grids = {n: search.WIDE_GRIDS[n] for n in ("LogisticRegression", "DecisionTree")}
+    return search.tune(zoo.fit_all([_LOGISTIC, _TREE], frame), frame, grids, 5)[1]
 
 
 @query("random_search")
 def random_search(spark, sf):
-    frame = _small(spark, sf)
-    grids = {"DecisionTree": search.WIDE_GRIDS["DecisionTree"], "KNN": {"k": [3, 7, 11], "weights": ["uniform", "distance"]}}
-    knn = zoo.ModelSpec("KNN", "nearest", {"max_points": 2000, "prototypes": 50, "maxIter": 3})
-    return search.tune(zoo.fit_all([_TREE, knn], frame), frame, grids, 3, n_iter=2)[1]
+    """Up to 50 draws from the declared grids, on five folds."""
+    frame = _small(spark, sf, 5)
+    grids = {n: search.WIDE_GRIDS[n] for n in ("DecisionTree", "KNN")}
+    return search.tune(zoo.fit_all([_TREE, zoo.ModelSpec("KNN", "nearest")], frame), frame, grids, 5, n_iter=50)[1]
 
 
 @query("stacking_oof")
 def stacking_oof(spark, sf):
-    frame = _small(spark, sf)
+    """Trained on three of four folds, scored on the fourth."""
     train, test = _held_out(_small(spark, sf, 4))
+    train = train.withColumn(FOLD, F.col(FOLD) - 1)
     final = zoo.ModelSpec("Final", "logistic", {"maxIter": 20})
-    stacked = search.fit_stacked("StackingEnsemble", [_LOGISTIC, _TREE], final, frame, "id", 3)
+    stacked = search.fit_stacked("StackingEnsemble", [_LOGISTIC, _TREE], final, train, "id", 3)
     return stacked.score(test).select("id", LABEL, "prob", "prediction")
 
 

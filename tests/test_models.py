@@ -30,7 +30,7 @@ SPECS = [
     zoo.ModelSpec("forest", "random_forest", {"numTrees": 5}), LOGISTIC, TREE, zoo.ModelSpec("nb", "gaussian_nb"),
     zoo.ModelSpec("gbt", "boosted_trees", {"maxIter": 3}), zoo.ModelSpec("ada", "ada_boost", {"rounds": 5, "checkpoint_every": 2}),
     zoo.ModelSpec("svc", "svc", {"components": 64, "maxIter": 20}), zoo.ModelSpec("linear", "svc", {"kernel": "linear", "maxIter": 20}),
-    zoo.ModelSpec("knn", "nearest", {"k": 7}), zoo.ModelSpec("prototypes", "nearest", {"k": 3, "max_points": 20, "prototypes": 15, "maxIter": 3}),
+    zoo.ModelSpec("knn", "nearest", {"k": 7}), zoo.ModelSpec("prototypes", "prototypes", {"k": 3, "prototypes": 15, "maxIter": 3}),
 ]
 
 
@@ -59,7 +59,25 @@ def test_knn_equals_brute_force(frame):
 
 def test_failed_model_is_left_out(frame):
     models = zoo.fit_all([LOGISTIC, zoo.ModelSpec("broken", "tree", {"maxDepth": -1})], frame)
-    assert list(models) == ["LogisticRegression"]
+    assert list(models) == ["LogisticRegression"] and list(models.failed) == ["broken"]
+    _, table = search.tune(models, frame, {"LogisticRegression": {"C": [1.0]}}, 4)
+    assert [(r["model"], r["failed"] is None) for r in table.orderBy("model").collect()] == [("LogisticRegression", True), ("broken", False)]
+
+
+def test_faults_of_the_job_are_raised(frame, monkeypatch):
+    def lost(spec, frame):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setitem(zoo.CUSTOM, "svc", lost)
+    with pytest.raises(RuntimeError):
+        zoo.fit_all([SPECS[6]], frame)
+
+
+def test_nearest_keeps_a_stated_sample(frame):
+    few = zoo.fit(zoo.ModelSpec("knn", "nearest", {"k": 3, "fit_points": 50}), frame)
+    assert len(few.points) == 50 and few.sampled and not zoo.fit(SPECS[8], frame).sampled
+    again = zoo.fit(zoo.ModelSpec("knn", "nearest", {"k": 3, "fit_points": 50}), frame.repartition(7))
+    assert np.array_equal(few.points, again.points)
 
 
 def test_cross_validation_is_reproducible(frame):
@@ -80,12 +98,16 @@ def test_search(frame):
     assert sampled.count() == 2
 
 
-def test_ensembles_and_importance(spark, frame):
+def test_ensembles_and_importance(spark, frame, tmp_path):
     final = zoo.ModelSpec("Final", "logistic", {"maxIter": 20})
     stacked = search.fit_stacked("StackingEnsemble", [LOGISTIC, TREE], final, frame, "id", 4)
     assert search.accuracy(stacked.score(frame)) > 0.8
     voting = search.Voting(zoo.ModelSpec("VotingEnsemble", "voting"), zoo.fit_all([LOGISTIC, TREE], frame))
     assert search.accuracy(voting.score(frame)) > 0.8
+    for model in (stacked, voting):
+        model.save(spark, str(tmp_path / model.spec.kind))
+        again = zoo.load(spark, str(tmp_path / model.spec.kind)).score(frame).select("id", F.col("prob").alias("q"))
+        assert model.score(frame).join(again, "id").filter(F.abs(F.col("prob") - F.col("q")) > 1e-9).count() == 0
     top = search.importance_table(spark, zoo.fit(SPECS[0], frame), ["a", "b", "c", "d"], 2).collect()
     assert top[0]["feature"] == "a" and len(top) == 2
     with pytest.raises(ValueError):
@@ -137,6 +159,12 @@ def test_jobs_end_to_end(spark, people, tmp_path):
     assert {r["check"]: r["passed"] for r in done["predict"]["checks"].collect()}["compliant"]
     assert done["predict"]["summary"].first()["total"] == 60
     assert done["evaluate"]["metrics"].first()["accuracy"] == pytest.approx(done["train"]["accuracy"])
+    more = people.filter("PassengerId <= 180").unionByName(people.filter("PassengerId > 180"))
+    held = spark.read.parquet(f"{root}/held_out")
+    assert jobs.evaluate(more, root)["metrics"].first()["accuracy"] == done["evaluate"]["metrics"].first()["accuracy"] and held.count() == 36
+    whole = jobs.run_complete_training(train, f"{root}/all", jobs.Roles(), [LOGISTIC, TREE], {"DecisionTree": {"maxDepth": [2]}}, None, LOGISTIC, k=2)
+    assert search.latest_model(spark, f"{root}/all/models").spec.name == whole["model"]
+    assert whole["results"].filter("cv_mean IS NULL").count() == 0
     assert done["explore"]["overall"].first()["total"] == 180
 
 
