@@ -88,7 +88,7 @@ class Words:
 # Entries of one batch for one group of hashes: the smallest id and the steps from id to id (of so many bytes each), hashes, flags.
 _DEALT = "part int, first long, step int, ids binary, hashes binary, indexed binary, wide boolean, settled boolean"
 _NAMES = [c.split()[0] for c in _DEALT.split(", ")]
-_MARKED = "doc_id long, keys binary"
+_MARKED = "doc_id long, key long"
 
 
 def _flags(keys: np.ndarray, ids: np.ndarray, indexed: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +146,7 @@ Entries = Callable[[Words, list], tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def _combine(texts: DataFrame, entries: Entries, parts: int, wide: bool, both: bool) -> DataFrame:
-    """(doc_id, keys) of entries with an equal indexed entry in a document with a smaller id.
+    """(doc_id, key) of entries with an equal indexed entry in a document with a smaller id.
 
     Hashes of ``COMBINE_BYTES`` of text are compared where they arise. What that
     settles goes on as it is; of equal ones only those still open, the smallest
@@ -191,11 +191,11 @@ def _combine(texts: DataFrame, entries: Entries, parts: int, wide: bool, both: b
             found_ids.append(owners[flagged])
             found_keys.append(every[flagged])
         owner = np.concatenate([*found_ids, np.zeros(0, np.int64)])
-        order = np.argsort(owner, kind="stable")
-        owner, mark = owner[order], np.concatenate([*found_keys, np.zeros(0, np.uint64)])[order]
-        firsts = runs(owner).tolist()
-        blobs = [np.unique(mark[a:b]).tobytes() for a, b in zip(firsts, [*firsts[1:], len(owner)])]
-        return pa.table({"doc_id": pa.array(owner[firsts], pa.int64()), "keys": pa.array(blobs, pa.binary())})
+        mark = np.concatenate([*found_keys, np.zeros(0, np.uint64)])
+        order = np.lexsort((mark, owner))
+        owner, mark = owner[order], mark[order]
+        new = np.append(True, (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1]))[: len(owner)]
+        return pa.table({"doc_id": owner[new], "key": mark[new].view(np.int64)})
 
     dealt = texts.mapInArrow(send, _DEALT)
     return materialize(dealt.groupBy("part").applyInArrow(meet, _MARKED), "marked")
@@ -208,12 +208,13 @@ def _arrow_schema() -> pa.Schema:
 
 def _grouped(marked: DataFrame) -> DataFrame:
     """One row per document; its keys are bounded by its own windows."""
-    return marked.groupBy("doc_id").agg(F.collect_list("keys").alias("keys")).withColumnRenamed("doc_id", "marked_id")
+    return marked.groupBy("doc_id").agg(F.collect_list("key").alias("keys")).withColumnRenamed("doc_id", "marked_id")
 
 
 def _known(batch: pa.RecordBatch, column: int) -> list[np.ndarray]:
-    blobs = batch.column(column).to_pylist()
-    return [np.concatenate([np.frombuffer(b, np.uint64) for b in bs]) if bs else np.zeros(0, np.uint64) for bs in blobs]
+    lists = batch.column(column)
+    values, ends = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 def _found(values: np.ndarray, place: np.ndarray, owner: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
