@@ -198,7 +198,22 @@ def _combine(texts: DataFrame, entries: Entries, parts: int, wide: bool, both: b
         return pa.table({"doc_id": owner[new], "key": mark[new].view(np.int64)})
 
     dealt = texts.mapInArrow(send, _DEALT)
-    return materialize(dealt.groupBy("part").applyInArrow(meet, _MARKED), "marked")
+    return _written(dealt.groupBy("part").applyInArrow(meet, _MARKED))
+
+
+# Lets Spark delete a query's shuffle files when it ends instead of when its plan is collected as garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder; the packed hashes it was made from need not stay on disk."""
+    conf = df.sparkSession.conf
+    before = conf.get(_TIDY, "false")
+    conf.set(_TIDY, "true")
+    try:
+        return materialize(df, "marked")
+    finally:
+        conf.set(_TIDY, before)
 
 
 def _arrow_schema() -> pa.Schema:
