@@ -30,9 +30,17 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 # Candidates for decoding; each is reported only if what it decodes to parses to its end.
 # A run of hex letters is found faster by its shortest length; shorter runs would be dropped anyway.
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*(?![A-Za-z0-9_.-])")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/]{40,}={0,2}(?![A-Za-z0-9+/_=-])")
+# Line ends may be written as escapes, as in JSON strings.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1-----")
+_GAPS = re.compile(r"\s+|\\+[nrt]")
+_JWT = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\[nrt]))eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*(?![A-Za-z0-9_-]|\.[A-Za-z0-9_-])")
+# First letters of the base64 of a DER sequence and of an OpenSSH key; both name their own length.
+_KEY_START = re.compile(r"M[A-P]|b3BlbnNzaC1rZXktdjEA")
+_BEFORE = re.compile(r"[A-Za-z0-9]\Z")
+_ESCAPE = re.compile(r"\\[nrt]\Z")
+_LETTERS = re.compile(r"[A-Za-z0-9+/_-]+")
+_WRAP = re.compile(r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*(?=[A-Za-z0-9+/_-])(?!-----)")
+_BEHIND = re.compile(r"[A-Za-z0-9+/=]|[_-][A-Za-z0-9+/_=-]")
 _HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 
 _SEQUENCE, _INTEGER, _BITS, _OCTETS, _OID = 0x30, 0x02, 0x03, 0x04, 0x06
@@ -142,6 +150,86 @@ def _key_kind(data: bytes) -> str | None:
     return "der" if is_private_key(data) else "openssh" if is_openssh_key(data) else None
 
 
+class _Wrapped:
+    """Base64 of either alphabet from a place in a text on, over line ends; read only as far as is asked."""
+
+    def __init__(self, text: str, start: int):
+        self.text, self.at, self.lines, self.size = text, start, [], 0
+
+    def letters(self, n: int) -> tuple[str, int] | None:
+        """The first ``n`` letters and where they end, or None if there are fewer."""
+        while self.size < n:
+            if self.lines:
+                gap = _WRAP.match(self.text, self.at)
+                if not gap:
+                    return None
+                self.at = gap.end()
+            line = _LETTERS.match(self.text, self.at)
+            if not line:
+                return None
+            self.lines.append(line[0])
+            self.size += len(line[0])
+            self.at = line.end()
+        return "".join(self.lines)[:n], self.at - (self.size - n)
+
+    def head(self, n: int) -> bytes:
+        """The first ``n`` bytes; ValueError if there are fewer."""
+        got = self.letters(-(-n * 4 // 3))
+        if not got:
+            raise ValueError("end")
+        return base64.b64decode((got[0] + "A" * (-len(got[0]) % 4)).translate({45: 43, 95: 47}))[:n]
+
+
+def _named_size(read: _Wrapped) -> int:
+    """Bytes of the key by its own length fields."""
+    if read.head(1)[0] == _SEQUENCE:
+        size = read.head(2)[1]
+        n = size & 0x7F if size >= 0x80 else 0
+        if n > 4:
+            raise ValueError("length")
+        # What no private key starts with is not read any further: version of one byte, or algorithm.
+        if read.head(4 + n)[2 + n :] != bytes((_INTEGER, 1)) and read.head(3 + n)[-1] != _SEQUENCE:
+            raise ValueError("first part")
+        return 2 + n + (int.from_bytes(read.head(2 + n)[2:], "big") if n else size)
+    at = len(b"openssh-key-v1\0")
+
+    def number() -> int:
+        return int.from_bytes(read.head(at + 4)[at:], "big")
+
+    for _ in range(3):
+        at += 4 + number()
+    keys = number()
+    at += 4
+    for _ in range(min(keys, 16) + 1):
+        at += 4 + number()
+    return at
+
+
+def _wrapped_keys(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, kind) of keys in base64, plain or safe for addresses, in one line or several.
+
+    A key ends where its own length fields say; no letter may follow there, and padding must be right or missing.
+    """
+    done = 0
+    for m in _KEY_START.finditer(text):
+        start = m.start()
+        if start < done or _BEFORE.search(text, max(start - 1, 0), start) and not _ESCAPE.search(text, max(start - 2, 0), start):
+            continue
+        read = _Wrapped(text, start)
+        try:
+            got = read.letters(-(-_named_size(read) * 4 // 3))
+            kind = got and _key_kind(_base64(got[0], url=True))
+        except ValueError:
+            continue
+        if not kind:
+            continue
+        pad = "=" * (-len(got[0]) % 4)
+        end = got[1] + len(pad) * text.startswith(pad, got[1])
+        if not _BEHIND.match(text, end):
+            done = end
+            yield start, end, kind
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns: leftmost, not overlapping within a kind; too short ones are dropped after matching."""
     found = []
@@ -160,7 +248,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
             try:
-                kind = _key_kind(_base64("".join(m[2].split())))
+                kind = _key_kind(_base64(_GAPS.sub("", m[2])))
             except ValueError:
                 continue
             if kind:
@@ -168,16 +256,15 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
                 covered.append((m.start(), m.end()))
     if "eyJ" in text:
         found += [(m.start(), KINDS.index("jwt"), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
-    for pattern, decode in ((_BASE64, _base64), (_HEX_BYTES, binascii.unhexlify)):
-        for m in pattern.finditer(text):
-            if any(a <= m.start() < b for a, b in covered):
-                continue
-            try:
-                kind = _key_kind(decode(m[0]))
-            except ValueError:
-                continue
-            if kind:
-                found.append((m.start(), KINDS.index(kind), m.end()))
+    for start, end, kind in _wrapped_keys(text):
+        if not any(a <= start < b for a, b in covered):
+            found.append((start, KINDS.index(kind), end))
+    for m in _HEX_BYTES.finditer(text):
+        if any(a <= m.start() < b for a, b in covered):
+            continue
+        kind = _key_kind(binascii.unhexlify(m[0]))
+        if kind:
+            found.append((m.start(), KINDS.index(kind), m.end()))
     return found
 
 

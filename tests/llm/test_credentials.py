@@ -53,6 +53,37 @@ def test_what_only_looks_like_a_key_is_not_reported(key):
     assert c.confirmed_spans(f"-----BEGIN PRIVATE KEY-----\n{b64(key[:-1])}\n-----END PRIVATE KEY-----") == []
 
 
+def wrapped(s, gap="\n", width=64):
+    return gap.join(s[k : k + width] for k in range(0, len(s), width))
+
+
+@pytest.mark.parametrize("key,kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (OPENSSH, "openssh")])
+def test_keys_in_other_surroundings(key, kind):
+    safe = base64.urlsafe_b64encode(key).decode()
+    forms = [b64(key), safe, safe.rstrip("="), wrapped(b64(key)), wrapped(b64(key), "\r\n", 76), wrapped(b64(key), "\\n"), wrapped(b64(key), "\n    ", 20)]
+    for form in forms:
+        for before, after in (("PRIVATE_KEY=", "\nNEXT=1"), ("key: ", ". More"), ('{"k": "', '"}'), ("see\n", "\nend"), ("\\n", "\\nend"), ("", "")):
+            text = before + form + after
+            assert c.confirmed_spans(text) == [(len(before), c.KINDS.index(kind), len(before) + len(form))], text
+    for gap in ("\n", "\\n", "\\r\\n", "\\\\n"):
+        pem = f'{{"private_key": "-----BEGIN PRIVATE KEY-----{gap}{wrapped(b64(key), gap)}{gap}-----END PRIVATE KEY-----{gap}"}}'
+        (span,) = c.confirmed_spans(pem)
+        assert c.KINDS[span[1]] == "pem" and pem[span[0] : span[2]].endswith("-----END PRIVATE KEY-----")
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC, OPENSSH])
+def test_broken_keys_in_other_surroundings(key):
+    for broken in (key[:-1], key + b"\0", key[:1] + bytes([key[1] ^ 1]) + key[2:]):
+        for text in (f"PRIVATE_KEY={b64(broken)}", wrapped(b64(broken), width=60), f"-----BEGIN PRIVATE KEY-----\\n{b64(broken)}\\n-----END PRIVATE KEY-----\\n"):
+            assert c.confirmed_spans(text) == []
+
+
+def test_tokens_at_the_end_of_a_sentence():
+    for before, after in (("t ", "."), ("t ", ". Next"), ("t=", "..."), ("\\n", "\\n"), ("(", ")."), ("_", ",")):
+        assert c.confirmed_spans(before + token() + after) == [(len(before), c.KINDS.index("jwt"), len(before) + len(token()))]
+    assert c.confirmed_spans(f"{token()}.abc") == [] == c.confirmed_spans(f"x{token()}")
+
+
 def test_signed_tokens():
     assert c.confirmed_spans(f"t {token()} x") == [(2, c.KINDS.index("jwt"), 2 + len(token()))]
     bad = [token("none"), token()[:-30], "eyJhbGci.eyJhbGci.aaaaaaaaaaaaaaaaaaaaaaaaaaa", token().replace(".", "", 1)]
