@@ -42,6 +42,27 @@ def test_licences_planted_and_given(spark, more, scanner):
     assert want <= got and len(got - want) <= 2
 
 
+WRAPPED = {
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell",
+    "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "GPL": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "LGPL": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either",
+}
+
+
+def test_licences_in_wrapped_lines(spark, scanner):
+    every = list(WRAPPED.items())
+    for family, text in licenses.TEMPLATES:
+        cut = text.split()
+        every.append((family, "\n".join(" ".join(cut[k : k + 4]) for k in range(0, len(cut), 4))))
+    marks = (("", ""), ("/*\n", " * "), ("", "# "), ("", "// "), ("", "dnl "))
+    rows = [(f"{n} {k}", "int main;\n\n" + top + "\n".join(mark + line for line in text.split("\n")) + "\n\nend", family, 2 + bool(top)) for n, (top, mark) in enumerate(marks) for k, (family, text) in enumerate(every)]
+    found = {(r["doc_id"], r["family"], r["line"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string, family string, at int"), scanner).collect()}
+    missed = [(k, f, at) for k, _, f, at in rows if (k, f, at) not in found]
+    assert not missed, missed
+
+
 def test_licences_leave_others_alone(spark, scanner, odd, empty):
     texts = ["He has a license to drive under the bridge.", "The general public may redistribute flyers.", "MIT opened a new building; version 2.0 of it.", "permission was granted", ""]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
