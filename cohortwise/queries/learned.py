@@ -1,4 +1,8 @@
-"""Models, search, ensembles and jobs, with the model sets' own parameters."""
+"""Models, search, ensembles and jobs, with the model sets' own parameters and five folds.
+
+Checks of one stored model (`model_roundtrip`, `predict_and_write`, `feature_importance`) take single models of the
+base set, `compare_feature_sets` its tree; `grid_search` and `random_search` take two models each with their whole grids.
+"""
 
 from pyspark.sql import functions as F
 
@@ -13,13 +17,11 @@ from cohortwise.queries.registry import query
 from cohortwise.session import materialize, scratch_path, small_table
 
 _NUMBERS = ["klass", "woman", "companions", "age", "fare"]
-_FOREST = zoo.ModelSpec("RandomForest", "random_forest", {"numTrees": 10, "maxDepth": 5})
-_LOGISTIC = zoo.ModelSpec("LogisticRegression", "logistic", {"maxIter": 20})
-_TREE = zoo.ModelSpec("DecisionTree", "tree", {"maxDepth": 5})
-_BOOSTED = zoo.ModelSpec("GradientBoosting", "boosted_trees", {"maxIter": 5, "maxDepth": 3})
+_BASE = {spec.name: spec for spec in zoo.BASE_MODELS}
+_FINAL = zoo.ModelSpec("Final", "logistic", {"maxIter": 100, "C": 1.0})
 
 
-def _small(spark, sf, k=3):
+def _small(spark, sf, k=5):
     """A narrow frame of all passengers with fold numbers."""
     df = fx_passengers(spark, sf).select(
         F.col("PassengerId").alias("id"),
@@ -128,7 +130,7 @@ def cv_scores(spark, sf):
 def evaluate_models(spark, sf):
     frame = _small(spark, sf)
     train, test = _held_out(frame)
-    return search.evaluate_models(zoo.fit_all([_LOGISTIC, _TREE], train), test, frame, 3)
+    return search.evaluate_models(zoo.fit_all(zoo.BASE_MODELS, train), test, frame, 5)
 
 
 @query("knn_prototypes")
@@ -156,7 +158,7 @@ def grid_search(spark, sf):
     """The whole declared grids of two models, on five folds."""
     frame = _small(spark, sf, 5)
     grids = {n: search.WIDE_GRIDS[n] for n in ("LogisticRegression", "DecisionTree")}
-    return search.tune(zoo.fit_all([_LOGISTIC, _TREE], frame), frame, grids, 5)[1]
+    return search.tune(zoo.fit_all([_BASE[n] for n in grids], frame), frame, grids, 5)[1]
 
 
 @query("random_search")
@@ -164,23 +166,22 @@ def random_search(spark, sf):
     """Up to 50 draws from the declared grids, on five folds."""
     frame = _small(spark, sf, 5)
     grids = {n: search.WIDE_GRIDS[n] for n in ("DecisionTree", "KNN")}
-    return search.tune(zoo.fit_all([_TREE, zoo.ModelSpec("KNN", "nearest")], frame), frame, grids, 5, n_iter=50)[1]
+    return search.tune(zoo.fit_all([_BASE[n] for n in grids], frame), frame, grids, 5, n_iter=50)[1]
 
 
 @query("stacking_oof")
 def stacking_oof(spark, sf):
-    """Trained on three of four folds, scored on the fourth."""
-    train, test = _held_out(_small(spark, sf, 4))
+    """Trained on five of six folds, scored on the sixth."""
+    train, test = _held_out(_small(spark, sf, 6))
     train = train.withColumn(FOLD, F.col(FOLD) - 1)
-    final = zoo.ModelSpec("Final", "logistic", {"maxIter": 20})
-    stacked = search.fit_stacked("StackingEnsemble", [_LOGISTIC, _TREE], final, train, "id", 3)
+    stacked = search.fit_stacked("StackingEnsemble", zoo.BASE_MODELS, _FINAL, train, "id", 5)
     return stacked.score(test).select("id", LABEL, "prob", "prediction")
 
 
 @query("voting_soft")
 def voting_soft(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))
-    models = zoo.fit_all([_LOGISTIC, _TREE, _BOOSTED], train)
+    models = zoo.fit_all(zoo.BASE_MODELS, train)
     return search.Voting(zoo.ModelSpec("VotingEnsemble", "voting"), models).score(test).select("id", LABEL, "prob", "prediction")
 
 
@@ -194,7 +195,7 @@ def model_roundtrip(spark, sf):
     """Rows whose score changes when a saved model is read back: none, so 0."""
     frame = _small(spark, sf)
     out = None
-    for spec in (_FOREST, zoo.ModelSpec("SVM", "svc", {"components": 16, "maxIter": 5}), zoo.ModelSpec("AdaBoost", "ada_boost", {"rounds": 3})):
+    for spec in (_BASE["RandomForest"], _BASE["SVM"], _BASE["AdaBoost"]):
         model = zoo.fit(spec, frame)
         root = scratch_path(spark, "models")
         search.save_best(spark, model, root, 0.5, 0.8, False)
@@ -211,7 +212,7 @@ def model_roundtrip(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     frame = _small(spark, sf)
-    return search.importance_table(spark, zoo.fit(_FOREST, frame), _NUMBERS, top=5)
+    return search.importance_table(spark, zoo.fit(_BASE["RandomForest"], frame), _NUMBERS, top=5)
 
 
 def _train_and_score(spark, sf):
@@ -225,7 +226,7 @@ def score_table(spark, sf):
     """Train, store, and score the other rows with the stored model."""
     training, scoring = _train_and_score(spark, sf)
     root = scratch_path(spark, "job")
-    jobs.train(training, root, specs=[_LOGISTIC, _TREE], k=2)
+    jobs.train(training, root, specs=zoo.BASE_MODELS)
     return jobs.score_table(scoring, root)
 
 
@@ -239,7 +240,7 @@ _CHECKS = ("columns", "row_count", "key_numeric", "unique_keys", "no_missing_val
 def predict_and_write(spark, sf):
     training, scoring = _train_and_score(spark, sf)
     root = scratch_path(spark, "job")
-    jobs.train(training, root, specs=[_TREE], k=2)
+    jobs.train(training, root, specs=[_BASE["DecisionTree"]])
     return jobs.predict(scoring, root, f"{root}/out")["checks"]
 
 
@@ -247,7 +248,7 @@ def predict_and_write(spark, sf):
 def job_evaluate(spark, sf):
     training, _ = _train_and_score(spark, sf)
     root = scratch_path(spark, "job")
-    jobs.train(training, root, specs=[_TREE], k=2)
+    jobs.train(training, root, specs=zoo.BASE_MODELS)
     return jobs.evaluate(training, root)["report"]
 
 
@@ -256,28 +257,26 @@ def train_complete(spark, sf):
     """Base models, tuning, voting and stacking compared in one table."""
     training, _ = _train_and_score(spark, sf)
     root = scratch_path(spark, "job")
-    grids = {"DecisionTree": {"maxDepth": [3, 6]}}
-    final = zoo.ModelSpec("Final", "logistic", {"maxIter": 20})
-    done = jobs.run_complete_training(training, root, jobs.Roles(), [_LOGISTIC, _TREE], grids, None, final, k=2)
+    done = jobs.run_complete_training(training, root, jobs.Roles(), zoo.BASE_MODELS, search.WIDE_GRIDS, None, _FINAL)
     return done["results"]
 
 
 @query("compare_feature_sets")
 def compare_feature_sets(spark, sf):
-    return jobs.compare_feature_sets(fx_passengers(spark, sf), spec=_TREE, k=3)
+    return jobs.compare_feature_sets(fx_passengers(spark, sf), spec=_BASE["DecisionTree"])
 
 
 @query("job_ensemble")
 def job_ensemble(spark, sf):
     training, scoring = _train_and_score(spark, sf)
-    return jobs.ensemble_predict(training, scoring, specs=[_LOGISTIC, _TREE, _FOREST], top_k=2, threshold=0.49, k=3)["predictions"]
+    return jobs.ensemble_predict(training, scoring, threshold=0.49)["predictions"]
 
 
 @query("job_hybrid")
 def job_hybrid(spark, sf):
     training, scoring = _train_and_score(spark, sf)
     thresholds = small_table(spark, [("male", 0.6), ("female", 0.4)], "Sex string, threshold double")
-    return jobs.hybrid_predict(training, scoring, specs=[_LOGISTIC, _TREE], thresholds=thresholds, k=2)["predictions"]
+    return jobs.hybrid_predict(training, scoring, thresholds=thresholds)["predictions"]
 
 
 _JOB_RULES = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY Survived ORDER BY ('0x' || substr(md5(PassengerId || '|42'), 1, 8))::BIGINT, PassengerId) AS rk,

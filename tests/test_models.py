@@ -191,3 +191,55 @@ def test_ensemble_hybrid_and_comparison(spark, people):
     assert all((r["prob"] is None) == (r["rule_name"] is not None) for r in rows)
     table = {r["feature_set"]: r for r in jobs.compare_feature_sets(people, spec=TREE, k=2).collect()}
     assert len(table) == 3 and min(r["gain"] for r in table.values()) == 0.0
+
+
+def test_job_queries_use_the_declared_sets(monkeypatch):
+    import inspect
+
+    from cohortwise.models import search, zoo
+    from cohortwise.plans import jobs
+    from cohortwise.queries import learned
+
+    calls = {}
+
+    class Stop(Exception):
+        pass
+
+    def recorded(name, signature):
+        def call(*args, **kwargs):
+            bound = signature.bind(*args, **kwargs)
+            bound.apply_defaults()
+            calls[name] = bound.arguments
+            raise Stop
+
+        return call
+
+    for module, name in ((jobs, "run_complete_training"), (jobs, "train"), (jobs, "ensemble_predict"), (jobs, "hybrid_predict"), (search, "fit_stacked"), (zoo, "fit_all")):
+        monkeypatch.setattr(module, name, recorded(name, inspect.signature(getattr(module, name))))
+    monkeypatch.setattr(learned, "_train_and_score", lambda spark, sf: (None, None))
+    monkeypatch.setattr(learned, "scratch_path", lambda spark, label: "")
+    monkeypatch.setattr(learned, "small_table", lambda *a: None)
+    monkeypatch.setattr(learned, "_small", lambda spark, sf, k=5: None)
+    monkeypatch.setattr(learned.F, "col", lambda name: 0)
+
+    class Frame:
+        def withColumn(self, *a):
+            return self
+
+    monkeypatch.setattr(learned, "_held_out", lambda frame: (Frame(), None))
+
+    def of(query, name):
+        with pytest.raises(Stop):
+            getattr(learned, query)(None, None)
+        return calls[name]
+
+    done = of("train_complete", "run_complete_training")
+    assert (done["specs"], done["grids"], done["n_iter"], done["k"]) == (zoo.BASE_MODELS, search.WIDE_GRIDS, None, 5)
+    for query in ("score_table", "job_evaluate"):
+        assert (of(query, "train")["specs"], calls["train"]["k"]) == (zoo.BASE_MODELS, 5)
+    assert of("predict_and_write", "train")["specs"][0] in zoo.BASE_MODELS and calls["train"]["k"] == 5
+    assert (of("job_ensemble", "ensemble_predict")["specs"], calls["ensemble_predict"]["k"]) == (zoo.ENSEMBLE_MODELS, 5)
+    assert (of("job_hybrid", "hybrid_predict")["specs"], calls["hybrid_predict"]["k"]) == (zoo.FINAL_ENSEMBLE_MODELS, 7)
+    assert (of("stacking_oof", "fit_stacked")["bases"], calls["fit_stacked"]["k"]) == (zoo.BASE_MODELS, 5)
+    for query in ("evaluate_models", "voting_soft"):
+        assert of(query, "fit_all")["specs"] == zoo.BASE_MODELS
