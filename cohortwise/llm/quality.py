@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.llm.arrow import pieces
 from cohortwise.llm.langid import first_by_hash, held_out
+from cohortwise.session import materialize
 
 # A passage is this many bytes; the last one of a text may be shorter. An empty text is one empty passage.
 PASSAGE = 512
@@ -20,9 +21,10 @@ BUCKETS = 512
 CLASSES = 8
 HIDDEN = 24
 ATTENTION = 12
-# Documented bounds of the labelled sample that training may use: rows, and bytes of each (from its start, its middle and its end).
+# Documented bound of the labelled rows that training may use, each with its whole text.
 SAMPLE_ROWS = 4000
-SAMPLE_BYTES = 6 * PASSAGE
+# Up to so many bytes of text are trained on in the driver; for more, Spark sums each batch's gradients.
+DRIVER_BYTES = 16 << 20
 THRESHOLD = 0.3
 
 _KIND = np.zeros(256, np.uint8)
@@ -82,44 +84,50 @@ class GatedAttention:
     def score(self, x: np.ndarray, owner: np.ndarray) -> np.ndarray:
         return self._forward(x, owner)[5]
 
-    def fit(self, bags: list[np.ndarray], target: np.ndarray, epochs: int = 8, batch: int = 32, rate: float = 3e-3, seed: int = 11) -> GatedAttention:
-        """Adam on the logistic loss of whole documents; attention is learned from document labels alone."""
+    def fit(self, rows: int, gradients: Callable[[np.ndarray], list[np.ndarray]], epochs: int = 8, batch: int = 32, rate: float = 3e-3, seed: int = 11) -> GatedAttention:
+        """Adam on the logistic loss of whole documents; attention is learned from document labels alone.
+
+        ``gradients`` gives the sums over the documents of these numbers.
+        """
         rng = np.random.default_rng(seed)
         first, second = [np.zeros_like(p) for p in self.params], [np.zeros_like(p) for p in self.params]
         step = 0
         for _ in range(epochs):
-            order = rng.permutation(len(bags))
+            order = rng.permutation(rows)
             for k in range(0, len(order), batch):
                 at = order[k : k + batch]
-                x = np.concatenate([bags[i] for i in at])
-                owner = np.repeat(np.arange(len(at)), [len(bags[i]) for i in at])
+                grads = [(g / len(at)).astype("f4") for g in gradients(at)]
+                grads[0] = grads[0] + np.float32(1e-4) * self.params[0]
                 step += 1
-                for p, g, m, q in zip(self.params, self._gradients(x, owner, target[at]), first, second):
+                for p, g, m, q in zip(self.params, grads, first, second):
                     m += 0.1 * (g - m)
                     q += 0.001 * (g * g - q)
                     p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.999**step)) + 1e-8)
         return self
 
+    def gradients(self, texts: list[bytes], target: np.ndarray) -> list[np.ndarray]:
+        """Sums over documents, from all their passages."""
+        return self._gradients(*encode_passages(texts), np.asarray(target, "f4"))
+
     def _gradients(self, x: np.ndarray, owner: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
         w, _, v, u, a, c, _ = self.params
         h, t, g, alpha, z, p, firsts = self._forward(x, owner)
-        back = ((p - target) / len(target)).astype("f4")[:, None]
+        back = (p - target).astype("f4")[:, None]
         dz = (back @ c.T)[owner]
         d_alpha = (dz * h).sum(1, keepdims=True)
         d_logit = alpha * (d_alpha - np.add.reduceat(alpha * d_alpha, firsts)[owner])
         d_gate = d_logit @ a.T
         dt, dg = d_gate * g * (1 - t * t), d_gate * t * g * (1 - g)
         dh = (alpha * dz + dt @ v.T + dg @ u.T) * (1 - h * h)
-        decay = np.float32(1e-4)
-        return [x.T @ dh + decay * w, dh.sum(0), h.T @ dt, h.T @ dg, (t * g).T @ d_logit, z.T @ back, back.sum(0)]
+        return [x.T @ dh, dh.sum(0), h.T @ dt, h.T @ dg, (t * g).T @ d_logit, z.T @ back, back.sum(0)]
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS) -> GatedAttention | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS, driver_bytes: int = DRIVER_BYTES) -> GatedAttention | None:
     """Fit on at most ``rows`` labelled rows that are not held out, in the order of a hash of the id (None if there are none).
 
     Each label gets half of the sample as far as it has enough. Labels are
     chosen first, from narrow rows; only the chosen documents' bytes leave
-    their place. The loss is not reweighted, so scores are a little low where
+    their place, all of them. The loss is not reweighted, so scores are a little low where
     one label is rare, which the threshold allows for. A document with several
     labels counts with each.
     """
@@ -127,18 +135,36 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     dealt = known.withColumn("deal", F.xxhash64("id"))
     chosen = first_by_hash(dealt, rows // 2).drop("rank")
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    half = SAMPLE_BYTES // 3
-    middle = F.greatest(F.floor(F.octet_length(raw) / 2), F.lit(half)).cast("int")
-    last = F.greatest(F.octet_length(raw) - half, middle + half).cast("int")
-    cut = F.concat(F.substring(raw, 1, half), F.substring(raw, middle + 1, F.lit(half)), F.substring(raw, last + 1, F.lit(half)))
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col)).join(F.broadcast(chosen), "id")
-    picked = thin.select("label", cut.alias("cut"), "deal").orderBy("deal", "label", "cut").limit(rows).collect()
-    if not picked:
+    first = thin.select("label", raw.alias("raw"), "deal").orderBy("deal", "label", F.xxhash64("raw")).limit(rows)
+    picked = materialize(first.select(F.monotonically_increasing_id().alias("no"), "label", "raw"), "picked")
+    narrow = picked.select("no", "label", F.octet_length("raw").cast("long").alias("size")).orderBy("no").collect()
+    if not narrow:
         return None
-    texts = [bytes(r["cut"]) for r in picked]
-    x, owner = encode_passages(texts)
-    bags = np.split(x, np.flatnonzero(np.diff(owner)) + 1)
-    return GatedAttention.fresh().fit(bags, np.array([r["label"] for r in picked], "f4"))
+    model, numbers = GatedAttention.fresh(), [r["no"] for r in narrow]
+    target = np.array([r["label"] for r in narrow], "f4")
+    if sum(r["size"] for r in narrow) <= driver_bytes:
+        texts = [bytes(r["raw"]) for r in picked.orderBy("no").collect()]
+        return model.fit(len(texts), lambda at: model.gradients([texts[i] for i in at], target[at]))
+    return model.fit(len(narrow), lambda at: _summed(picked.filter(F.col("no").isin([numbers[i] for i in at])), model))
+
+
+def _summed(rows: DataFrame, model: GatedAttention) -> list[np.ndarray]:
+    """Gradients of (no, label, raw), summed in the tasks one document at a time; a few kilobytes come back from each."""
+    shapes = [p.shape for p in model.params]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                flat = np.concatenate([g.ravel() for g in model.gradients([text], [label])]).astype("f4")
+                total = flat if total is None else total + flat
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    parts = [np.frombuffer(bytes(r["sums"]), "f4") for r in rows.select("label", "raw").mapInArrow(run, "sums binary").collect()]
+    cuts = np.split(np.sum(parts, axis=0), np.cumsum([int(np.prod(x)) for x in shapes])[:-1])
+    return [c.reshape(x) for c, x in zip(cuts, shapes)]
 
 
 def score(docs: DataFrame, model: GatedAttention | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:

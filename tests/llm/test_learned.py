@@ -122,3 +122,19 @@ def test_quality_odd_rows(spark, odd, empty):
     assert quality.drop_poor(odd, model, threshold=0).exceptAll(odd).count() == 0
     assert quality.score(empty, model).count() == 0 and quality.train(empty, labels) is None
     assert quality.train(odd, labels.limit(0)) is None
+
+
+def test_quality_learns_from_all_passages(spark, monkeypatch):
+    import numpy as np
+
+    texts = [(k, f"{k} " + "word " * 1500 + "junk in the second third " + "end " * 1500) for k in range(12)] + [(12, "x" * 3000)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id long, quality int")
+    seen, plain = set(), quality.encode_passages
+    monkeypatch.setattr(quality, "encode_passages", lambda some: seen.update(some) or plain(some))
+    here = quality.train(rows, labels)
+    monkeypatch.undo()
+    kept = {t.encode() for k, t in texts if not is_held_out(k)}
+    assert seen == kept
+    there = quality.train(rows, labels, driver_bytes=0)
+    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(here.params, there.params))
