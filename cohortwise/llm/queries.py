@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import chat, credentials, decontaminate, exact, langid, licenses, pack, quality, simhash, substrings
+from cohortwise.llm import chat, credentials, decontaminate, exact, langid, licenses, pack, quality, simhash, subwords, substrings
 from cohortwise.session import small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,16 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@_query("op11_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text by the distinct-word table, and the text decoded from them, as digests."""
+    found = subwords.encode(_table(spark, sf_dir, "documents"))
+    listed = F.to_json("pieces")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("pieces").cast("long").alias("n_tokens"),
+        F.sha2(F.substring(listed, F.lit(2), F.length(listed) - 2).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
