@@ -10,12 +10,10 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.models import zoo
+from cohortwise.models import stumps, zoo
 from cohortwise.models.frame import FEATURES, FOLD, LABEL, model_frame
 from cohortwise.operators.metrics import binary_metrics, roc_auc
 from cohortwise.operators.split import assign_folds
@@ -24,22 +22,75 @@ from cohortwise.session import materialize, small_table
 log = logging.getLogger(__name__)
 
 # Threads that submit Spark jobs side by side.
-PARALLEL = 4
+PARALLEL = 8
 
 
 def accuracy(scored: DataFrame) -> float:
     return scored.agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))).first()[0]
 
 
-def cross_validate(spec: zoo.ModelSpec, frame: DataFrame, k: int, parallel: int = PARALLEL) -> list[float]:
-    """Accuracy on each fold of the model fitted on the others."""
+def fit_folds(specs: Sequence[zoo.ModelSpec], frame: DataFrame, folds: Sequence[int | None], parallel: int = PARALLEL) -> dict[tuple[str, int | None], zoo.Fitted]:
+    """Every model fitted without each of these folds (None: on all rows), by (name, fold).
+
+    All fits share one pool, so that short fits run beside long ones. Boosting of one-split trees and extremely randomised
+    trees take all folds in one run, naive Bayes in one pass.
+    """
+    shared = [s for s in specs if s.kind in ("gaussian_nb", "extra_trees") or s.kind == "ada_boost" and s.params.get("maxDepth", 1) == 1]
+    tasks = [(spec, None) for spec in shared] + [(spec, fold) for spec in specs if spec not in shared for fold in folds]
+    # The long ones first, so that none of them is left over at the end.
+    tasks.sort(key=lambda t: _LONG.index(t[0].kind) if t[0].kind in _LONG else len(_LONG))
+
+    def one(task):
+        spec, fold = task
+        if spec.kind in ("gaussian_nb", "extra_trees"):
+            fit = zoo.fit_bayes_folds if spec.kind == "gaussian_nb" else zoo.fit_extra_folds
+            return [((spec.name, f), m) for f, m in zip(folds, fit(spec, frame, folds))]
+        if spec in shared:
+            rate = spec.params.get("learning_rate", 1.0)
+            return [((spec.name, f), m) for f, m in zip(folds, zoo.fit_ada_runs(spec, frame, [(rate, f) for f in folds]))]
+        rows = frame if fold is None else frame.filter(F.col(FOLD) != fold)
+        return [((spec.name, fold), zoo.fit(spec, rows))]
+
+    with ThreadPool(min(parallel, max(len(tasks), 1))) as pool:
+        return dict(pair for found in pool.map(one, tasks, chunksize=1) for pair in found)
+
+
+_LONG = ["boosted_trees", "extra_trees", "ada_boost", "random_forest", "svc"]
+
+
+def out_of_fold(specs: Sequence[zoo.ModelSpec], frame: DataFrame, k: int, parallel: int = PARALLEL, models: dict | None = None) -> DataFrame:
+    """The one table of out-of-fold scores: ``frame``'s own columns and, per model, the probability from the fit
+    that did not see the row's fold. Written, so that choices, votes and stacking all read the same scores.
+
+    A fold is scored by all models in one projection and folds are put together, so nothing is shuffled.
+    """
+    models = models or fit_folds(specs, frame, range(k), parallel)
+    own = [c for c in frame.columns if c not in (FEATURES, "values")]
+    out = None
+    for i in range(k):
+        part = frame.filter(F.col(FOLD) == i)
+        for spec in specs:
+            kept = part.columns
+            part = models[spec.name, i].score(part).select(*kept, F.col("prob").alias(spec.name))
+        part = part.select(*own, *[s.name for s in specs])
+        out = part if out is None else out.unionByName(part)
+    return materialize(out, "out-of-fold")
+
+
+def fold_accuracies(scores: DataFrame, names: Sequence[str], k: int) -> dict[str, list[float]]:
+    """Accuracy of each model on each fold, from one pass over the table of out-of-fold scores."""
+    right = [F.avg(((F.col(f"`{n}`") > 0.5).cast("int") == F.col(LABEL)).cast("double")).alias(f"a{i}") for i, n in enumerate(names)]
+    found = {r[FOLD]: r for r in scores.groupBy(FOLD).agg(*right).collect()}
+    return {n: [found[f][f"a{i}"] for f in range(k) if f in found] for i, n in enumerate(names)}
 
-    def one(i: int) -> float:
-        model = zoo.fit(spec, frame.filter(F.col(FOLD) != i))
-        return accuracy(model.score(frame.filter(F.col(FOLD) == i)))
 
-    with ThreadPool(min(parallel, k)) as pool:
-        return pool.map(one, range(k))
+def cross_validate_all(specs: Sequence[zoo.ModelSpec], frame: DataFrame, k: int, parallel: int = PARALLEL) -> dict[str, list[float]]:
+    """Accuracy on each fold of each model fitted on the others."""
+    return fold_accuracies(out_of_fold(specs, frame, k, parallel), [s.name for s in specs], k)
+
+
+def cross_validate(spec: zoo.ModelSpec, frame: DataFrame, k: int, parallel: int = PARALLEL) -> list[float]:
+    return cross_validate_all([spec], frame, k, parallel)[spec.name]
 
 
 def summary(scores: Sequence[float]) -> dict[str, float]:
@@ -57,27 +108,14 @@ def cv_table(spark: SparkSession, scores: dict[str, Sequence[float]]) -> DataFra
     return small_table(spark, rows, "model string, cv_mean double, cv_std double, cv_min double, cv_max double")
 
 
-def out_of_fold_scores(spec: zoo.ModelSpec, frame: DataFrame, k: int, parallel: int = PARALLEL) -> DataFrame:
-    """Every row scored by the model that did not see its fold."""
-
-    def one(i: int) -> DataFrame:
-        return zoo.fit(spec, frame.filter(F.col(FOLD) != i)).score(frame.filter(F.col(FOLD) == i))
-
-    with ThreadPool(min(parallel, k)) as pool:
-        parts = pool.map(one, range(k))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def evaluate_models(
-    models: dict[str, zoo.Fitted], validation: DataFrame, cv_frame: DataFrame, k: int = 5
+    models: dict[str, zoo.Fitted], validation: DataFrame, cv_frame: DataFrame, k: int = 5, scores: DataFrame | None = None
 ) -> DataFrame:
     """Validation metrics, AUC and cross-validation per model, one row each.
 
     ``cv_frame`` is the table cross-validation refits on; pass the validation
     table for what the reference does, the training table for a fair score.
+    ``scores`` is its table of out-of-fold scores where there is one already.
     """
     spark = validation.sparkSession
     scored = None
@@ -87,7 +125,9 @@ def evaluate_models(
     if scored is None:
         raise ValueError("no trained models")
     scored = materialize(scored, "scored")
-    cv = cv_table(spark, {name: cross_validate(m.spec, cv_frame, k) for name, m in models.items()})
+    if scores is None:
+        scores = out_of_fold([m.spec for m in models.values()], cv_frame, k)
+    cv = cv_table(spark, fold_accuracies(scores, list(models), k))
     kinds = small_table(spark, 
         [(n, "Ensemble" if "Ensemble" in n else "Base") for n in models], "model string, model_type string"
     )
@@ -126,24 +166,77 @@ def combinations(grid: dict[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def _search_native(spec: zoo.ModelSpec, frame: DataFrame, options: list[dict], k: int, parallel: int):
-    rows = frame.count()
-    estimator = zoo.native_estimator(spec, rows)
-    maps = [{estimator.getParam(n): v for n, v in zoo.spark_params(o, rows).items()} for o in options]
-    validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps or ParamGridBuilder().build(), numFolds=k, foldCol=FOLD,
-        evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy"), parallelism=parallel,
-    )
-    fitted = validator.fit(frame)
-    best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
-    return zoo.NativeFitted(spec.with_params(**options[best]), fitted.bestModel), options[best], fitted.avgMetrics
+# Parameters of which a shorter value is the beginning of a longer fit (trees of a forest, rounds of boosting, levels of a
+# tree) or another reading of it (the votes of one list of neighbours).
+NESTED = {
+    "random_forest": ("numTrees",), "extra_trees": ("numTrees",), "boosted_trees": ("maxIter",), "ada_boost": ("rounds",), "tree": ("maxDepth",), "nearest": ("k", "weights"),
+}
 
 
-def _search_custom(spec: zoo.ModelSpec, frame: DataFrame, options: list[dict], k: int, parallel: int):
-    means = [statistics.fmean(cross_validate(spec.with_params(**o), frame, k, parallel)) for o in options]
-    best = max(range(len(options)), key=lambda i: means[i])
-    tuned = spec.with_params(**options[best])
-    return zoo.fit(tuned, frame), options[best], means
+def chains(spec: zoo.ModelSpec, options: Sequence[dict]) -> list[tuple[dict, list[int]]]:
+    """Options grouped by what must be fitted apart: (the largest option's parameters, numbers of the options that come from that fit)."""
+    nested = NESTED.get(spec.kind, ())
+    groups: dict[str, list[int]] = {}
+    for i, option in enumerate(options):
+        apart = {n: v for n, v in option.items() if n not in nested}
+        if spec.kind == "svc" and {**spec.params, **option}.get("kernel", "rbf") == "linear":
+            apart.pop("gamma", None)  # only the other kernel has it
+        groups.setdefault(repr(sorted(apart.items())), []).append(i)
+    return [({**options[at[0]], **{n: max(options[i][n] for i in at) for n in nested if n in options[at[0]]}}, at) for at in groups.values()]
+
+
+def _shares(model: zoo.Fitted, options: Sequence[dict], rows: DataFrame) -> list[float]:
+    """Accuracy on ``rows`` of every option that comes out of this one fit."""
+    spec = model.spec
+    if spec.kind == "tree" and "maxDepth" in options[0]:
+        votes = [zoo.tree_vote(model.model, o["maxDepth"]) for o in options]
+    elif spec.kind == "nearest":
+        wanted = [(o.get("k", spec.params.get("k", 7)), o.get("weights", spec.params.get("weights", "distance"))) for o in options]
+        rows = model.with_votes(rows, wanted)
+        votes = [(F.col("__votes")[i] > 0.5).cast("double") for i in range(len(wanted))]
+    elif spec.kind in ("random_forest", "extra_trees", "boosted_trees") and len(options) > 1:
+        name = NESTED[spec.kind][0]
+        return [accuracy(model.first(o[name]).score(rows)) for o in options]
+    else:
+        return [accuracy(model.score(rows))] * len(options)
+    right = rows.agg(*[F.avg((v == F.col(LABEL)).cast("double")).alias(f"a{i}") for i, v in enumerate(votes)]).first()
+    return list(right)
+
+
+def chain_means(spec: zoo.ModelSpec, frame: DataFrame, options: Sequence[dict], k: int, parallel: int = PARALLEL) -> tuple[list[float], int]:
+    """Mean accuracy over the folds of every option, with one fit per chain and fold; and the number of fits."""
+    groups = chains(spec, options)
+    if spec.kind == "ada_boost" and spec.params.get("maxDepth", 1) == 1:
+        return _ada_means(spec, frame, groups, options, k)
+
+    def one(task: tuple[int, int]) -> list[float]:
+        (largest, at), fold = groups[task[0]], task[1]
+        model = zoo.fit(spec.with_params(**largest), frame.filter(F.col(FOLD) != fold))
+        return _shares(model, [options[i] for i in at], frame.filter(F.col(FOLD) == fold))
+
+    tasks = [(g, fold) for g in range(len(groups)) for fold in range(k)]
+    with ThreadPool(min(parallel, len(tasks))) as pool:
+        found = pool.map(one, tasks, chunksize=1)
+    means: list[float] = [0.0] * len(options)
+    for (g, _), shares in zip(tasks, found):
+        for i, share in zip(groups[g][1], shares):
+            means[i] += share / k
+    return means, len(tasks)
+
+
+def _ada_means(spec: zoo.ModelSpec, frame: DataFrame, groups, options: Sequence[dict], k: int) -> tuple[list[float], int]:
+    """All rates and folds are boosted side by side; shorter options are read off on the way."""
+    base = spec.params.get("rounds", 100)
+    stages = sorted({o.get("rounds", base) for o in options})
+    rates = [{**spec.params, **largest}.get("learning_rate", 1.0) for largest, _ in groups]
+    edges = stumps.bin_edges(frame, spec.params.get("bins", stumps.BINS))
+    runs = [stumps.Run(rate, fold) for rate in rates for fold in range(k)]
+    marks = stumps.fit_runs(stumps.cells_of(frame, edges), edges, runs, max(stages), stages)
+    means: list[float] = [0.0] * len(options)
+    for g, (_, at) in enumerate(groups):
+        for i in at:
+            means[i] = statistics.fmean(marks[options[i].get("rounds", base)][g * k : (g + 1) * k])
+    return means, len(runs)
 
 
 def tune(
@@ -158,7 +251,9 @@ def tune(
 
     With ``n_iter`` only that many seeded random combinations are tried. A
     model without a grid, or whose parameters don't fit it, stays as it is.
-    Returns the models and a table ``(model, params, cv_mean, best, failed)``;
+    Options of which one is the beginning of another are scored from a single
+    fit (:func:`chains`). Returns the models (``fits`` counts what the search fitted)
+    and a table ``(model, params, cv_mean, best, failed)``;
     a model that could not be fitted or searched has one row with the reason.
     """
     spark = frame.sparkSession
@@ -172,14 +267,15 @@ def tune(
         options = combinations(grids[name])
         if n_iter is not None and n_iter < len(options):
             options = random.Random(zoo.SEED).sample(options, n_iter)
-        search = _search_custom if model.spec.kind in zoo.CUSTOM else _search_native
         try:
-            tuned[name], chosen, means = search(model.spec, frame, options, k, parallel)
+            means, fits = chain_means(model.spec, frame, options, k, parallel)
+            best = max(range(len(means)), key=lambda i: means[i])
+            tuned[name] = zoo.fit(model.spec.with_params(**options[best]), frame)
+            tuned.fits += fits + 1
         except zoo.PARAMETER_ERRORS as error:
             log.error("search for %s failed: %s", name, error)
             tuned.failed[name] = str(error).splitlines()[0]
             continue
-        best = max(range(len(means)), key=lambda i: means[i])
         rows += [(name, str(o), float(m), int(i == best), None) for i, (o, m) in enumerate(zip(options, means))]
     rows += [(name, None, None, 0, reason) for name, reason in tuned.failed.items()]
     table = small_table(spark, rows, "model string, params string, cv_mean double, best int, failed string")
@@ -220,28 +316,20 @@ def _load_stacked(spark: SparkSession, path: str, spec: zoo.ModelSpec, state: di
 
 
 def fit_stacked(
-    name: str, bases: Sequence[zoo.ModelSpec], final: zoo.ModelSpec, frame: DataFrame, key: str, k: int = 5
+    name: str, bases: Sequence[zoo.ModelSpec], final: zoo.ModelSpec, frame: DataFrame, key: str, k: int = 5,
+    scores: DataFrame | None = None, fitted: dict[str, zoo.Fitted] | None = None,
 ) -> Stacked:
-    """Train the final model on out-of-fold probabilities, the bases on all rows."""
-    names = [s.name for s in bases]
-    meta = model_frame(base_scores(bases, frame, k).select(key, LABEL, *names), names, LABEL)
-    fitted = {spec.name: zoo.fit(spec, frame) for spec in bases}
-    return Stacked(zoo.ModelSpec(name, "stacked"), fitted, zoo.fit(final, meta))
+    """Train the final model on out-of-fold probabilities, the bases on all rows.
 
-
-def base_scores(bases: Sequence[zoo.ModelSpec], frame: DataFrame, k: int) -> DataFrame:
-    """Each row with one column per model: the probability from the model that did not see its fold.
-
-    A fold is scored by all models in one projection and folds are put together, so nothing is shuffled.
+    ``scores`` and ``fitted`` are used where they are there already; otherwise all fits share one pool.
     """
-    out = None
-    for i in range(k):
-        part = frame.filter(F.col(FOLD) == i)
-        for spec in bases:
-            kept = part.columns
-            part = zoo.fit(spec, frame.filter(F.col(FOLD) != i)).score(part).select(*kept, F.col("prob").alias(spec.name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    names = [s.name for s in bases]
+    if scores is None or fitted is None:
+        models = fit_folds(bases, frame, [*(range(k) if scores is None else ()), *((None,) if fitted is None else ())])
+        scores = out_of_fold(bases, frame, k, models=models) if scores is None else scores
+        fitted = {n: models[n, None] for n in names} if fitted is None else fitted
+    meta = model_frame(scores.select(key, LABEL, *names), names, LABEL)
+    return Stacked(zoo.ModelSpec(name, "stacked"), {n: fitted[n] for n in names}, zoo.fit(final, meta))
 
 
 class Voting(zoo.Fitted):
@@ -274,14 +362,13 @@ def _load_voting(spark: SparkSession, path: str, spec: zoo.ModelSpec, state: dic
 zoo.COMPOSITE.update(stacked=_load_stacked, voting=_load_voting)
 
 
-def ensemble_cv(bases: Sequence[zoo.ModelSpec], final: zoo.ModelSpec, frame: DataFrame, k: int) -> dict[str, list[float]]:
+def ensemble_cv(bases: Sequence[zoo.ModelSpec], final: zoo.ModelSpec, frame: DataFrame, k: int, scores: DataFrame | None = None) -> dict[str, list[float]]:
     """Accuracy on each fold of the plain vote and of the final model, both on scores of models that did not see the fold."""
     names = [s.name for s in bases]
-    scores = materialize(base_scores(bases, frame, k).select(LABEL, FOLD, *names), "base-scores")
+    scores = out_of_fold(bases, frame, k) if scores is None else scores
     vote = sum([F.col(n) for n in names[1:]], F.col(names[0])) / len(names)
-    right = ((vote > 0.5).cast("int") == F.col(LABEL)).cast("double")
-    voted = {r[FOLD]: r["right"] for r in scores.groupBy(FOLD).agg(F.avg(right).alias("right")).collect()}
-    return {"voting": [voted[i] for i in sorted(voted)], "stacked": cross_validate(final, model_frame(scores, names, LABEL, keep=[FOLD]), k)}
+    voted = fold_accuracies(scores.withColumn("__vote", vote), ["__vote"], k)["__vote"]
+    return {"voting": voted, "stacked": cross_validate(final, model_frame(scores, names, LABEL, keep=[FOLD]), k)}
 
 
 # --- keeping models --------------------------------------------------------

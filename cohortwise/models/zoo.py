@@ -7,9 +7,11 @@ import logging
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import classification as C
 from pyspark.ml.clustering import KMeans
@@ -17,8 +19,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.models.frame import FEATURES, LABEL
-from cohortwise.session import materialize
+from cohortwise.models import bayes, extra, neighbours, stumps
+from cohortwise.models.frame import FEATURES, FOLD, LABEL
+from cohortwise.operators.joins import attach
+from cohortwise.session import materialize, small_table
 
 log = logging.getLogger(__name__)
 
@@ -44,7 +48,6 @@ NATIVE: dict[str, Callable] = {
     "logistic": C.LogisticRegression,
     "tree": C.DecisionTreeClassifier,
     "boosted_trees": C.GBTClassifier,
-    "gaussian_nb": lambda **p: C.NaiveBayes(modelType="gaussian", **p),
 }
 _SEEDED = {"random_forest", "tree", "boosted_trees"}
 _LOADERS = {
@@ -52,7 +55,6 @@ _LOADERS = {
     "logistic": C.LogisticRegressionModel,
     "tree": C.DecisionTreeClassificationModel,
     "boosted_trees": C.GBTClassificationModel,
-    "gaussian_nb": C.NaiveBayesModel,
 }
 
 
@@ -105,6 +107,23 @@ class NativeFitted(Fitted):
     def __init__(self, spec: ModelSpec, model):
         self.spec, self.model = spec, model
 
+    def first(self, trees: int) -> NativeFitted:
+        """A forest or a boosted model of only its first trees."""
+        java, gateway = self.model._java_obj, SparkContext._active_spark_context._gateway
+        ml, forest = gateway.jvm.org.apache.spark.ml, isinstance(self.model, C.RandomForestClassificationModel)
+        kept = list(java.trees())[:trees]
+        part = gateway.new_array(ml.classification.DecisionTreeClassificationModel if forest else ml.regression.DecisionTreeRegressionModel, len(kept))
+        for i, tree in enumerate(kept):
+            part[i] = tree
+        if forest:
+            made = ml.classification.RandomForestClassificationModel(java.uid(), part, java.numFeatures(), java.numClasses())
+            return NativeFitted(self.spec.with_params(numTrees=trees), C.RandomForestClassificationModel(made))
+        weights = gateway.new_array(gateway.jvm.double, len(kept))
+        for i, weight in enumerate(list(java.treeWeights())[:trees]):
+            weights[i] = weight
+        made = ml.classification.GBTClassificationModel(java.uid(), part, weights, java.numFeatures(), java.numClasses())
+        return NativeFitted(self.spec.with_params(maxIter=trees), C.GBTClassificationModel(made))
+
     def score(self, frame: DataFrame) -> DataFrame:
         scored = self.model.transform(frame)
         prob = vector_to_array("probability")[1]
@@ -123,6 +142,31 @@ class NativeFitted(Fitted):
         return {}
 
 
+# --- naive Bayes -----------------------------------------------------------
+
+
+class BayesFitted(Fitted):
+    """Gaussian naive Bayes as one expression over the value array."""
+
+    def __init__(self, spec: ModelSpec, gaussians: bayes.Gaussians):
+        self.spec, self.gaussians = spec, gaussians
+
+    def score(self, frame: DataFrame) -> DataFrame:
+        return _decided(frame.select(*frame.columns, self.gaussians.prob().alias("prob")))
+
+    def _save_parts(self, spark, path):
+        return vars(self.gaussians)
+
+
+def fit_bayes(spec: ModelSpec, frame: DataFrame) -> BayesFitted:
+    return fit_bayes_folds(spec, frame.drop(FOLD), [None])[0]
+
+
+def fit_bayes_folds(spec: ModelSpec, frame: DataFrame, folds: Sequence[int | None]) -> list[BayesFitted]:
+    """One model for each fold to leave out, all from one pass over the rows."""
+    return [BayesFitted(spec, found) for found in bayes.fit(frame, folds)]
+
+
 # --- support vector machine ------------------------------------------------
 
 
@@ -202,6 +246,20 @@ def fit_svc(spec: ModelSpec, frame: DataFrame) -> SvcFitted:
 # --- adaptive boosting -----------------------------------------------------
 
 
+class StumpsFitted(Fitted):
+    """Weighted vote of one-split trees."""
+
+    def __init__(self, spec: ModelSpec, run: stumps.Run):
+        self.spec, self.run = spec, run
+
+    def score(self, frame: DataFrame) -> DataFrame:
+        prob = 1.0 / (1.0 + F.exp(-stumps.margin(self.run)))
+        return _decided(frame.select(*frame.columns, prob.alias("prob")))
+
+    def _save_parts(self, spark, path):
+        return {"stumps": self.run.stumps, "alphas": self.run.alphas, "errors": self.run.errors}
+
+
 class AdaFitted(Fitted):
     """Weighted vote of shallow trees."""
 
@@ -210,7 +268,7 @@ class AdaFitted(Fitted):
 
     def score(self, frame: DataFrame) -> DataFrame:
         total = sum(self.alphas) or 1.0
-        signed = [F.lit(a) * (2 * _vote(tree) - 1) for a, tree in zip(self.alphas, self.trees)]
+        signed = [F.lit(a) * (2 * tree_vote(tree) - 1) for a, tree in zip(self.alphas, self.trees)]
         decision = sum(signed[1:], signed[0]) / total
         return _decided(frame.select(*frame.columns, (1.0 / (1.0 + F.exp(-decision))).alias("prob")))
 
@@ -220,34 +278,52 @@ class AdaFitted(Fitted):
         return {"alphas": self.alphas}
 
 
-def _vote(tree) -> Column:
-    """A tree's prediction as one expression over the value array, so that many trees are one projection."""
+def tree_vote(tree, depth: int | None = None) -> Column:
+    """A tree's prediction as one expression over the value array, so that many trees are one projection.
+
+    With ``depth`` the tree is cut there: its inner nodes vote for their own majority.
+    """
 
-    def branch(node) -> Column:
-        if node.subtreeDepth() == 0:
+    def branch(node, left_over: int | None) -> Column:
+        if node.subtreeDepth() == 0 or left_over == 0:
             return F.lit(float(node.prediction()))
-        split = node.split()
+        split, below = node.split(), None if left_over is None else left_over - 1
         left = F.col("values")[split.featureIndex()] <= split.threshold()
-        return F.when(left, branch(node.leftChild())).otherwise(branch(node.rightChild()))
+        return F.when(left, branch(node.leftChild(), below)).otherwise(branch(node.rightChild(), below))
 
-    return branch(tree._call_java("rootNode"))
+    return branch(tree._call_java("rootNode"), depth)
 
 
-def fit_ada(spec: ModelSpec, frame: DataFrame) -> AdaFitted:
+def fit_ada(spec: ModelSpec, frame: DataFrame) -> Fitted:
     """Boosting by reweighting: after each tree the rows it got wrong weigh more.
 
-    Weights are a column; every ``checkpoint_every`` rounds they are written to
-    the shared folder, which keeps the plan short and survives lost executors.
+    Trees of one split are boosted on a binned count layout (``stumps``), one job a round.
     """
+    if spec.params.get("maxDepth", 1) > 1:
+        return _fit_deep_ada(spec, frame)
+    return fit_ada_runs(spec, frame, [(spec.params.get("learning_rate", 1.0), None)])[0]
+
+
+def fit_ada_runs(spec: ModelSpec, frame: DataFrame, wanted: Sequence[tuple[float, int | None]]) -> list[StumpsFitted]:
+    """One model for each (rate, fold to leave out), all boosted side by side; ``frame`` has a fold column if folds are left out."""
+    edges = stumps.bin_edges(frame, spec.params.get("bins", stumps.BINS))
+    runs = [stumps.Run(rate, fold) for rate, fold in wanted]
+    stumps.fit_runs(stumps.cells_of(frame, edges), edges, runs, spec.params.get("rounds", 100))
+    return [StumpsFitted(spec.with_params(learning_rate=run.rate), run) for run in runs]
+
+
+def _fit_deep_ada(spec: ModelSpec, frame: DataFrame) -> AdaFitted:
+    """Weights are a column; every ``checkpoint_every`` rounds they are written to
+    the shared folder, which keeps the plan short and survives lost executors."""
     rounds, rate = spec.params.get("rounds", 100), spec.params.get("learning_rate", 1.0)
-    every, depth = spec.params.get("checkpoint_every", 5), spec.params.get("maxDepth", 1)
+    every, depth = spec.params.get("checkpoint_every", 5), spec.params["maxDepth"]
     trees, alphas = [], []
     current = frame.select("values", LABEL, FEATURES).withColumn("__w", F.lit(1.0))
     for i in range(rounds):
         tree = C.DecisionTreeClassifier(
             featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", maxDepth=depth, seed=SEED
         ).fit(current)
-        voted = current.withColumn("__miss", (_vote(tree) != F.col(LABEL)).cast("double"))
+        voted = current.withColumn("__miss", (tree_vote(tree) != F.col(LABEL)).cast("double"))
         sums = voted.agg(
             F.sum(F.col("__w") * F.col("__miss")).alias("wrong"), F.sum("__w").alias("all"), F.count(F.lit(1)).alias("n")
         ).first()
@@ -269,42 +345,91 @@ def fit_ada(spec: ModelSpec, frame: DataFrame) -> AdaFitted:
     return AdaFitted(spec, trees, alphas)
 
 
+# --- extremely randomised trees ---------------------------------------------
+
+
+class ExtraFitted(Fitted):
+    """Mean of extremely randomised trees."""
+
+    def __init__(self, spec: ModelSpec, trees: list[extra.Tree]):
+        self.spec, self.trees = spec, trees
+
+    def first(self, trees: int) -> ExtraFitted:
+        return ExtraFitted(self.spec.with_params(numTrees=trees), self.trees[:trees])
+
+    def score(self, frame: DataFrame) -> DataFrame:
+        depth = self.spec.params.get("maxDepth", 5)
+        shared = frame.sparkSession.sparkContext.broadcast([t.arrays(depth) for t in self.trees])
+
+        @F.pandas_udf("double")
+        def vote(values: pd.Series) -> pd.Series:
+            return pd.Series(extra.predict(np.stack(values.to_numpy()), shared.value, depth) if len(values) else [], dtype="float64")
+
+        return _decided(frame.withColumn("prob", vote("values")))
+
+    def _save_parts(self, spark, path):
+        rows = [(i, n, f, t.threshold.get(n, 0.0), t.share.get(n, 0.0)) for i, t in enumerate(self.trees) for n, f in t.feature.items()]
+        small_table(spark, rows, "tree int, node long, feature int, threshold double, share double").write.mode("overwrite").parquet(f"{path}/trees")
+        return {"trees": len(self.trees)}
+
+
+def fit_extra(spec: ModelSpec, frame: DataFrame) -> ExtraFitted:
+    return fit_extra_folds(spec, frame, [None])[0]
+
+
+def fit_extra_folds(spec: ModelSpec, frame: DataFrame, folds: Sequence[int | None]) -> list[ExtraFitted]:
+    """One model for each fold to leave out, all grown side by side."""
+    p = spec.params
+    return [ExtraFitted(spec, trees) for trees in extra.grow(frame, p.get("numTrees", 100), p.get("maxDepth", 5), folds, p.get("minSplit", 2), p.get("seed", SEED))]
+
+
+def _load_extra(spark: SparkSession, path: str, spec: ModelSpec, state: dict) -> ExtraFitted:
+    trees = [extra.Tree({}, {}, {}) for _ in range(state["trees"])]
+    for r in spark.read.parquet(f"{path}/trees").collect():  # bounded when it was grown
+        trees[r["tree"]].feature[r["node"]], trees[r["tree"]].threshold[r["node"]], trees[r["tree"]].share[r["node"]] = r["feature"], r["threshold"], r["share"]
+    return ExtraFitted(spec, trees)
+
+
 # --- nearest neighbours ----------------------------------------------------
 
-# Labelled points that "nearest" may keep: a bound on the sample it is fitted
-# on, not on the rows it scores. "prototypes" always keeps cluster centres.
+# Up to so many distinct training points are sent to all tasks; more stay a table, and
+# rows meet them by the neighbour join. "prototypes" always keeps cluster centres.
 FIT_POINTS = 20_000
 
 
 class KnnFitted(Fitted):
-    """Distance-weighted vote of the nearest training points (``sampled`` tells whether more points were there)."""
+    """Distance-weighted vote of the nearest of a bounded number of points."""
 
-    def __init__(self, spec: ModelSpec, points: np.ndarray, counts: np.ndarray, positives: np.ndarray, sampled: bool = False):
-        self.spec, self.points, self.counts, self.positives, self.sampled = spec, points, counts, positives, sampled
+    def __init__(self, spec: ModelSpec, points: np.ndarray, counts: np.ndarray, positives: np.ndarray):
+        self.spec, self.points, self.counts, self.positives = spec, points, counts, positives
 
     def score(self, frame: DataFrame) -> DataFrame:
+        voted = self.with_votes(frame, [_knn_option(self.spec.params)])
+        return _decided(voted.withColumn("prob", F.col("__votes")[0]).drop("__votes"))
+
+    def with_votes(self, frame: DataFrame, options: Sequence[tuple[int, str]]) -> DataFrame:
+        """``__votes``: an array with one probability for each (k, weights), all from one list of the nearest points."""
         shared = frame.sparkSession.sparkContext.broadcast((self.points, self.counts, self.positives))
-        vote = _knn_vote(shared, self.spec.params.get("k", 7), self.spec.params.get("weights", "distance"), self.spec.params.get("metric", "euclidean"))
-        return _decided(frame.withColumn("prob", vote("values")))
+        return frame.withColumn("__votes", _knn_votes(shared, options, self.spec.params.get("metric", "euclidean"))("values"))
 
     def _save_parts(self, spark, path):
         rows = [(p.tolist(), float(c), float(y)) for p, c, y in zip(self.points, self.counts, self.positives)]
         spark.createDataFrame(rows, "point array<double>, n double, y double").write.mode("overwrite").parquet(f"{path}/points")
-        return {"sampled": self.sampled}
+        return {}
 
 
-def _knn_vote(shared, k: int, weights: str, metric: str):
-    """Vote of the ``k`` nearest points, by Euclidean or Manhattan distance."""
+def _knn_votes(shared, options: Sequence[tuple[int, str]], metric: str):
+    """Votes of the nearest points, by Euclidean or Manhattan distance, for every (k, weights)."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("array<double>")
     def vote(values: pd.Series) -> pd.Series:
         if values.empty:
-            return pd.Series([], dtype="float64")
+            return pd.Series([], dtype=object)
         points, counts, positives = shared.value
         squares, share = (points**2).sum(axis=1), positives / counts
         queries = np.stack(values.to_numpy())
-        out = np.empty(len(queries))
-        near = min(k, len(points))
+        out = np.empty((len(queries), len(options)))
+        near = min(max(k for k, _ in options), len(points))
         rows = 512 if metric == "euclidean" else max(1, (1 << 22) // points.size)
         for start in range(0, len(queries), rows):
             block = queries[start : start + rows]
@@ -317,14 +442,15 @@ def _knn_vote(shared, k: int, weights: str, metric: str):
             order = np.argsort(dist, axis=1, kind="stable")
             pick, dist = np.take_along_axis(pick, order, 1), np.take_along_axis(dist, order, 1)
             size = counts[pick]
-            taken = np.clip(k - (np.cumsum(size, axis=1) - size), 0, size)
-            if weights == "distance":
-                exact = dist < 1e-9
-                weight = np.where(exact.any(axis=1)[:, None], exact.astype(float), 1.0 / np.maximum(dist, 1e-9))
-            else:
+            before = np.cumsum(size, axis=1) - size
+            for at, (k, weights) in enumerate(options):
+                taken = np.clip(k - before, 0, size)
                 weight = np.ones_like(dist)
-            out[start : start + rows] = (taken * weight * share[pick]).sum(axis=1) / (taken * weight).sum(axis=1)
-        return pd.Series(out)
+                if weights == "distance":
+                    exact = (dist < 1e-9) & (taken > 0)
+                    weight = np.where(exact.any(axis=1)[:, None], exact.astype(float), 1.0 / np.maximum(dist, 1e-9))
+                out[start : start + rows, at] = (taken * weight * share[pick]).sum(axis=1) / (taken * weight).sum(axis=1)
+        return pd.Series(list(out))
 
     return vote
 
@@ -334,13 +460,53 @@ def _distinct_points(frame: DataFrame) -> DataFrame:
     return materialize(counts, "points")
 
 
-def fit_nearest(spec: ModelSpec, frame: DataFrame) -> KnnFitted:
-    """Keep the distinct training points, at most ``fit_points`` of them: the first by a hash of their values."""
-    limit = spec.params.get("fit_points", FIT_POINTS)
+def _knn_option(params: dict) -> tuple[int, str]:
+    return params.get("k", 7), params.get("weights", "distance")
+
+
+class NeighbourFitted(Fitted):
+    """Distance-weighted vote of the nearest of all training points, which are a table (values, n, y) of any size."""
+
+    def __init__(self, spec: ModelSpec, points: DataFrame):
+        self.spec, self.points = spec, points
+
+    def score(self, frame: DataFrame) -> DataFrame:
+        voted = self.with_votes(frame, [_knn_option(self.spec.params)])
+        return _decided(voted.withColumn("prob", F.col("__votes")[0]).drop("__votes"))
+
+    def with_votes(self, frame: DataFrame, options: Sequence[tuple[int, str]]) -> DataFrame:
+        if self.spec.params.get("metric", "euclidean") != "euclidean":
+            raise ValueError("the neighbour join has Euclidean distances only")
+        found = neighbours.neighbours(self.points, frame, max(k for k, _ in options))
+        votes = F.array(*[_near_vote(k, weights) for k, weights in options])
+        return attach(frame, materialize(found.select("values", votes.alias("__votes")), "votes"), ["values"])
+
+    def _save_parts(self, spark, path):
+        self.points.write.mode("overwrite").parquet(f"{path}/points")
+        return {"table": True}
+
+
+def _near_vote(k: int, weights: str) -> Column:
+    """The share of label 1 among the ``k`` nearest rows of ``near``; equal points alone decide where there are any."""
+    exact = F.col("near")[0]["d2"] == 0.0
+
+    def add(acc: Column, x: Column) -> Column:
+        weight = F.lit(1.0) if weights == "uniform" else F.when(exact, (x["d2"] == 0.0).cast("double")).otherwise(1.0 / F.sqrt(x["d2"]))
+        taken = F.least(acc["left"], x["n"])
+        part = taken * weight
+        return F.struct((acc["left"] - taken).alias("left"), (acc["up"] + part * x["y"] / x["n"]).alias("up"), (acc["down"] + part).alias("down"))
+
+    start = F.struct(F.lit(float(k)).alias("left"), F.lit(0.0).alias("up"), F.lit(0.0).alias("down"))
+    return F.aggregate("near", start, add, lambda acc: acc["up"] / acc["down"])
+
+
+def fit_nearest(spec: ModelSpec, frame: DataFrame) -> KnnFitted | NeighbourFitted:
+    """Keep all distinct training points: up to ``fit_points`` of them are sent to all tasks, more are joined."""
     distinct = _distinct_points(frame)
-    rows = distinct.orderBy(F.xxhash64("values"), "values").limit(limit).collect()
-    columns = [np.array([r[c] for r in rows]) for c in ("values", "n", "y")]
-    return KnnFitted(spec, *columns, sampled=distinct.count() > limit)
+    if distinct.count() > spec.params.get("fit_points", FIT_POINTS):
+        return NeighbourFitted(spec, distinct)
+    rows = distinct.orderBy(F.xxhash64("values"), "values").collect()
+    return KnnFitted(spec, *[np.array([r[c] for r in rows]) for c in ("values", "n", "y")])
 
 
 def fit_prototypes(spec: ModelSpec, frame: DataFrame) -> KnnFitted:
@@ -358,7 +524,7 @@ def fit_prototypes(spec: ModelSpec, frame: DataFrame) -> KnnFitted:
 # --- fitting and loading ---------------------------------------------------
 
 CUSTOM: dict[str, Callable[[ModelSpec, DataFrame], Fitted]] = {
-    "svc": fit_svc, "ada_boost": fit_ada, "nearest": fit_nearest, "prototypes": fit_prototypes,
+    "gaussian_nb": fit_bayes, "extra_trees": fit_extra, "svc": fit_svc, "ada_boost": fit_ada, "nearest": fit_nearest, "prototypes": fit_prototypes,
 }
 # Kinds made of other models add how they are read here.
 COMPOSITE: dict[str, Callable[[SparkSession, str, ModelSpec, dict], Fitted]] = {}
@@ -372,22 +538,31 @@ def fit(spec: ModelSpec, frame: DataFrame) -> Fitted:
 
 
 class Fits(dict):
-    """Fitted models by name; ``failed`` has the reason for each that its parameters ruled out."""
+    """Fitted models by name; ``failed`` has the reason for each that its parameters ruled out, ``fits`` counts a search's fits."""
 
     def __init__(self):
         super().__init__()
         self.failed: dict[str, str] = {}
+        self.fits = 0
 
 
-def fit_all(specs: Sequence[ModelSpec], frame: DataFrame) -> Fits:
-    """Fit every model. Wrong parameters are reported in ``failed``; any other error, such as a lost cluster, is raised."""
-    fitted = Fits()
-    for spec in specs:
+def fit_all(specs: Sequence[ModelSpec], frame: DataFrame, parallel: int = 8) -> Fits:
+    """Fit every model, side by side. Wrong parameters are reported in ``failed``; any other error, such as a lost cluster, is raised."""
+
+    def one(spec: ModelSpec):
         try:
-            fitted[spec.name] = fit(spec, frame)
+            return fit(spec, frame)
         except PARAMETER_ERRORS as error:
             log.error("could not fit %s: %s", spec.name, error)
-            fitted.failed[spec.name] = str(error).splitlines()[0]
+            return str(error).splitlines()[0]
+
+    fitted = Fits()
+    with ThreadPool(min(parallel, max(len(specs), 1))) as pool:
+        for spec, done in zip(specs, pool.map(one, specs, chunksize=1)):
+            if isinstance(done, Fitted):
+                fitted[spec.name] = done
+            else:
+                fitted.failed[spec.name] = done
     return fitted
 
 
@@ -397,23 +572,29 @@ def load(spark: SparkSession, path: str) -> Fitted:
     if spec.kind == "svc":
         svm = C.LinearSVCModel.load(f"{path}/model")
         return SvcFitted(spec, svm, C.LogisticRegressionModel.load(f"{path}/curve"), state["gamma"], state["size"])
+    if spec.kind == "ada_boost" and "stumps" in state:
+        return StumpsFitted(spec, stumps.Run(spec.params.get("learning_rate", 1.0), None, [tuple(x) for x in state["stumps"]], state["alphas"], state["errors"], False))
     if spec.kind == "ada_boost":
         trees = [C.DecisionTreeClassificationModel.load(f"{path}/tree{i}") for i in range(len(state["alphas"]))]
         return AdaFitted(spec, trees, state["alphas"])
+    if spec.kind == "gaussian_nb":
+        return BayesFitted(spec, bayes.Gaussians(**state))
+    if spec.kind == "extra_trees":
+        return _load_extra(spark, path, spec, state)
     if spec.kind in COMPOSITE:
         return COMPOSITE[spec.kind](spark, path, spec, state)
+    if spec.kind == "nearest" and state.get("table"):
+        return NeighbourFitted(spec, spark.read.parquet(f"{path}/points"))
     if spec.kind in ("nearest", "prototypes"):
         rows = spark.read.parquet(f"{path}/points").collect()  # bounded when it was written
         return KnnFitted(
-            spec, np.array([r["point"] for r in rows]), np.array([r["n"] for r in rows]), np.array([r["y"] for r in rows]),
-            state.get("sampled", False),
+            spec, np.array([r["point"] for r in rows]), np.array([r["n"] for r in rows]), np.array([r["y"] for r in rows])
         )
     return NativeFitted(spec, _LOADERS[spec.kind].load(f"{path}/model"))
 
 
 # The model sets of the reference. Parameters Spark ML does not
-# have are left out; booster libraries and extra trees map to Spark's own
-# boosted trees and random forest.
+# have are left out; booster libraries map to Spark's own boosted trees.
 DEFAULT_MODELS = [
     ModelSpec("RandomForest", "random_forest", {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2}),
     ModelSpec("LogisticRegression", "logistic", {"maxIter": 1000, "C": 1.0}),
@@ -444,6 +625,7 @@ RULE_ENSEMBLE_MODELS = [
 FINAL_ENSEMBLE_MODELS = [
     ModelSpec("BoostedTrees", "boosted_trees", {"maxIter": 300, "stepSize": 0.03, "maxDepth": 7, "subsamplingRate": 0.8}),
     ModelSpec("RandomForest", "random_forest", {"numTrees": 400, "maxDepth": 10, "minInstancesPerNode": 1}),
+    ModelSpec("ExtraTrees", "extra_trees", {"numTrees": 400, "maxDepth": 10, "minSplit": 3}),
     ModelSpec("LogisticRegression", "logistic", {"maxIter": 2000, "C": 0.5}),
 ]
 SMALL_MODEL = ModelSpec("SmallBoostedTrees", "boosted_trees", {"maxIter": 150, "stepSize": 0.1, "maxDepth": 5})

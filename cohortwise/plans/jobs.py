@@ -99,11 +99,13 @@ def run_complete_training(df: DataFrame, root: str, roles: Roles, specs, grids,
     frame = model_frame(folded, features.names, "label", keep=["id", FOLD])
     held_out = model_frame(features.transform(validation), features.names, "label", keep=["id"])
     tuned, tried = search.tune(zoo.fit_all(specs, frame), frame, grids, k, n_iter)
-    results = search.evaluate_models(tuned, held_out, frame, k)
-    ensembles = {"VotingEnsemble": search.Voting(zoo.ModelSpec("VotingEnsemble", "voting"), tuned)}
+    # One table of out-of-fold scores serves the choice of models, the vote and the stacking.
     bases = [m.spec for m in tuned.values()]
-    ensembles["StackingEnsemble"] = search.fit_stacked("StackingEnsemble", bases, final, frame, "id", k)
-    cv = search.ensemble_cv(bases, final, frame, k)
+    scores = search.out_of_fold(bases, frame, k)
+    results = search.evaluate_models(tuned, held_out, frame, k, scores)
+    ensembles = {"VotingEnsemble": search.Voting(zoo.ModelSpec("VotingEnsemble", "voting"), tuned)}
+    ensembles["StackingEnsemble"] = search.fit_stacked("StackingEnsemble", bases, final, frame, "id", k, scores, tuned)
+    cv = search.ensemble_cv(bases, final, frame, k, scores)
     rows = []
     for name, model in ensembles.items():
         folds = search.summary(cv[model.spec.kind])
@@ -254,10 +256,11 @@ def ensemble_predict(
     folds = rated.select(F.col(roles.key).alias("id"), FOLD)
     matrix = features.transform(rated).join(folds, "id")
     frame = model_frame(matrix, features.names, "label", keep=["id", FOLD])
-    scores = {s.name: search.cross_validate(s, frame, k) for s in specs}
-    cv = search.cv_table(spark, scores)
+    fits = search.fit_folds(specs, frame, [*range(k), None])
+    scores = search.out_of_fold(specs, frame, k, models=fits)
+    cv = search.cv_table(spark, search.fold_accuracies(scores, [s.name for s in specs], k))
     weights = {r["model"]: r["weight"] for r in model_weights(cv, "cv_mean", top_k, uniform).collect()}
-    models = zoo.fit_all([s for s in specs if s.name in weights], frame)
+    models = {s.name: fits[s.name, None] for s in specs if s.name in weights}
     blend = search.Voting(zoo.ModelSpec("WeightedEnsemble", "voting"), models, weights)
     target = model_frame(features.transform(to_score), features.names, keep=["id"])
     scored = R.decide(blend.score(target).select("id", "prob"), "prob", threshold)

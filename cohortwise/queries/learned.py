@@ -123,7 +123,42 @@ def model_zoo(spark, sf):
 @query("cv_scores")
 def cv_scores(spark, sf):
     frame = _small(spark, sf, 5)
-    return search.cv_table(spark, {s.name: search.cross_validate(s, frame, 5) for s in zoo.DEFAULT_MODELS})
+    return search.cv_table(spark, search.cross_validate_all(zoo.DEFAULT_MODELS, frame, 5))
+
+
+def _nb_folds(features: str, names: list[str], source: str = "fx_passengers", k: int = 5) -> str:
+    """SQL: every row scored by naive Bayes of the other folds. ``features`` selects id, label and the names."""
+    stats = ", ".join(f"avg({n}) AS m_{n}, var_pop({n}) AS v_{n}" for n in names)
+    eps = f"1e-9 * greatest({', '.join(f'var_pop({n})' for n in names)})"
+    terms = " + ".join(f"ln(2 * pi() * ({{0}}.v_{n} + e.eps)) + pow(r.{n} - {{0}}.m_{n}, 2) / ({{0}}.v_{n} + e.eps)" for n in names)
+    return f"""f AS ({features}),
+r AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY ('0x' || substr(md5(id || '|42'), 1, 8))::BIGINT, id) - 1) % {k} AS INT) AS fold FROM f),
+e AS (SELECT i AS fold, {eps} AS eps, count(*) AS total FROM r, range({k}) t(i) WHERE r.fold <> i GROUP BY i),
+s AS (SELECT i AS fold, label, count(*) AS n, {stats} FROM r, range({k}) t(i) WHERE r.fold <> i GROUP BY i, label),
+p AS (SELECT r.id, r.label, r.fold, 1 / (1 + exp((ln(a.n / e.total) - 0.5 * ({terms.format('a')})) - (ln(b.n / e.total) - 0.5 * ({terms.format('b')})))) AS prob
+ FROM r JOIN e USING (fold) JOIN s a ON a.fold = r.fold AND a.label = 0 JOIN s b ON b.fold = r.fold AND b.label = 1)"""
+
+
+_SMALL = """SELECT PassengerId AS id, Survived AS label, CAST(Pclass AS DOUBLE) AS klass, CAST(Sex = 'female' AS DOUBLE) AS woman, CAST(SibSp + Parch AS DOUBLE) AS companions,
+ coalesce(Age, 30.0)::DOUBLE / 80 AS age, coalesce(Fare, 32.0)::DOUBLE / 10000 AS fare FROM fx_passengers"""
+_CV_NB = f"""WITH {_nb_folds(_SMALL, _NUMBERS)},
+a AS (SELECT fold, avg(CAST(CAST(prob > 0.5 AS INT) = label AS DOUBLE)) AS acc FROM p GROUP BY fold)
+SELECT 'NaiveBayes' AS model, round(avg(acc), 6) AS cv_mean, round(stddev_pop(acc), 6) AS cv_std, round(min(acc), 6) AS cv_min, round(max(acc), 6) AS cv_max FROM a"""
+
+
+@query("cv_scores_bayes", over("fx_passengers", _CV_NB))
+def cv_scores_bayes(spark, sf):
+    """Cross-validation of naive Bayes, all folds from one pass of moments."""
+    frame = _small(spark, sf, 5)
+    table = search.cv_table(spark, search.cross_validate_all([_BASE["NaiveBayes"]], frame, 5))
+    return table.select("model", *[F.round(c, 6).alias(c) for c in table.columns if c != "model"])
+
+
+@query("out_of_fold_bayes", over("fx_passengers", f"WITH {_nb_folds(_SMALL, _NUMBERS)} SELECT id, label, fold, round(prob, 6) AS prob FROM p"))
+def out_of_fold_bayes(spark, sf):
+    """The table of out-of-fold scores."""
+    scores = search.out_of_fold([_BASE["NaiveBayes"]], _small(spark, sf, 5), 5)
+    return scores.select("id", "label", "fold", F.round("NaiveBayes", 6).alias("prob"))
 
 
 @query("evaluate_models")
@@ -140,6 +175,27 @@ def knn_prototypes(spark, sf):
     return zoo.fit(spec, train).score(test).select("id", LABEL, "prob", "prediction")
 
 
+_KNN = f"""WITH f AS ({_SMALL}),
+r AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY ('0x' || substr(md5(id || '|42'), 1, 8))::BIGINT, id) - 1) % 5 AS INT) AS fold FROM f),
+t AS (SELECT klass, woman, companions, age, fare, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS y FROM r WHERE fold <> 0 GROUP BY ALL),
+q AS (SELECT DISTINCT klass, woman, companions, age, fare FROM r WHERE fold = 0),
+d AS (SELECT q AS probe, t.*, round(pow(t.klass - q.klass, 2) + pow(t.woman - q.woman, 2) + pow(t.companions - q.companions, 2) + pow(t.age - q.age, 2) + pow(t.fare - q.fare, 2), 9) AS d2 FROM q, t),
+b AS (SELECT *, row_number() OVER w AS place, coalesce(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier, min(d2) OVER (PARTITION BY probe) AS least
+  FROM d WINDOW w AS (PARTITION BY probe ORDER BY d2, klass, woman, companions, age, fare)),
+v AS (SELECT probe, y / n AS share, least(n, 7 - earlier) * CASE WHEN least = 0 THEN CAST(d2 = 0 AS DOUBLE) ELSE 1 / sqrt(d2) END AS w FROM b WHERE earlier < 7 AND place <= 7),
+p AS (SELECT probe, sum(w * share) / sum(w) AS prob FROM v GROUP BY probe)
+SELECT r.id, r.label, round(prob, 4) AS prob FROM r JOIN p ON p.probe.klass = r.klass AND p.probe.woman = r.woman AND p.probe.companions = r.companions AND p.probe.age = r.age AND p.probe.fare = r.fare
+WHERE r.fold = 0"""
+
+
+@query("knn_join", over("fx_passengers", _KNN))
+def knn_join(spark, sf):
+    """Votes of the seven nearest of all training rows, by the neighbour join."""
+    train, test = _held_out(_small(spark, sf, 5))
+    spec = zoo.ModelSpec("KNN", "nearest", {"k": 7, "weights": "distance", "fit_points": 0})
+    return zoo.fit(spec, train).score(test).select("id", "label", F.round("prob", 4).alias("prob"))
+
+
 @query("adaboost_weighted")
 def adaboost_weighted(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))
@@ -147,6 +203,40 @@ def adaboost_weighted(spark, sf):
     return zoo.fit(spec, train).score(test).select("id", LABEL, "prob", "prediction")
 
 
+def _ada_round(i: int) -> str:
+    """One round in SQL: weights by feature and value, both sides of every edge, the best split, the moved weights."""
+    return f"""u{i} AS (SELECT 0 AS f, klass AS x, label, w FROM c{i} UNION ALL SELECT 1, woman, label, w FROM c{i} UNION ALL SELECT 2, companions, label, w FROM c{i}),
+g{i} AS (SELECT f, x, sum(w) FILTER (label = 0) AS w0, sum(w) FILTER (label = 1) AS w1 FROM u{i} GROUP BY f, x),
+e{i} AS (SELECT f, x, (x + lead(x) OVER p) / 2 AS edge, sum(coalesce(w0, 0)) OVER p AS l0, sum(coalesce(w1, 0)) OVER p AS l1,
+  sum(coalesce(w0, 0)) OVER q AS t0, sum(coalesce(w1, 0)) OVER q AS t1 FROM g{i} WINDOW p AS (PARTITION BY f ORDER BY x), q AS (PARTITION BY f)),
+b{i} AS (SELECT f, edge, l0, l1, t0 - l0 AS r0, t1 - l1 AS r1, t0 + t1 AS total,
+  round(((l0 * l0 + l1 * l1) / (l0 + l1) + ((t0 - l0) * (t0 - l0) + (t1 - l1) * (t1 - l1)) / (t0 + t1 - l0 - l1)) / (t0 + t1), 9) AS gain
+  FROM e{i} WHERE edge IS NOT NULL ORDER BY gain DESC, f, edge LIMIT 1),
+s{i} AS (SELECT f, edge, CAST(l1 > l0 AS INT) AS a, CAST(r1 > r0 AS INT) AS z, (least(l0, l1) + least(r0, r1)) / total AS err FROM b{i}),
+c{i + 1} AS (SELECT klass, woman, companions, label, w * CASE WHEN CASE WHEN CASE f WHEN 0 THEN klass WHEN 1 THEN woman ELSE companions END <= edge THEN a ELSE z END <> label
+  THEN (1 - err) / err ELSE 1 END AS w FROM c{i}, s{i})"""
+
+
+_ADA_ROUNDS = 6
+_ADA = (
+    """WITH c1 AS (SELECT CAST(Pclass AS DOUBLE) AS klass, CAST(Sex = 'female' AS DOUBLE) AS woman, CAST(SibSp + Parch AS DOUBLE) AS companions, Survived AS label, CAST(count(*) AS DOUBLE) AS w
+ FROM fx_passengers GROUP BY ALL),
+"""
+    + ",\n".join(_ada_round(i) for i in range(1, _ADA_ROUNDS + 1))
+    + "\n"
+    + " UNION ALL ".join(f'SELECT {i} AS round, f AS feature, edge, a AS "left", z AS "right", round(err, 6) AS error, round(ln((1 - err) / err), 6) AS alpha FROM s{i}' for i in range(1, _ADA_ROUNDS + 1))
+)
+
+
+@query("adaboost_rounds", over("fx_passengers", _ADA))
+def adaboost_rounds(spark, sf):
+    """The first rounds of boosting one-split trees: split, sides, error and weight of each."""
+    spec = zoo.ModelSpec("AdaBoost", "ada_boost", {"rounds": _ADA_ROUNDS})
+    run = zoo.fit(spec, _small(spark, sf).withColumn("values", F.slice("values", 1, 3))).run
+    rows = [(i + 1, *stump, round(e, 6), round(a, 6)) for i, (stump, e, a) in enumerate(zip(run.stumps, run.errors, run.alphas))]
+    return small_table(spark, rows, "round int, feature int, edge double, left int, right int, error double, alpha double")
+
+
 @query("svc_rff")
 def svc_rff(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))

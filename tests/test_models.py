@@ -30,7 +30,7 @@ SPECS = [
     zoo.ModelSpec("forest", "random_forest", {"numTrees": 5}), LOGISTIC, TREE, zoo.ModelSpec("nb", "gaussian_nb"),
     zoo.ModelSpec("gbt", "boosted_trees", {"maxIter": 3}), zoo.ModelSpec("ada", "ada_boost", {"rounds": 5, "checkpoint_every": 2}),
     zoo.ModelSpec("svc", "svc", {"components": 64, "maxIter": 20}), zoo.ModelSpec("linear", "svc", {"kernel": "linear", "maxIter": 20}),
-    zoo.ModelSpec("knn", "nearest", {"k": 7}), zoo.ModelSpec("prototypes", "prototypes", {"k": 3, "prototypes": 15, "maxIter": 3}),
+    zoo.ModelSpec("knn", "nearest", {"k": 7}), zoo.ModelSpec("extra", "extra_trees", {"numTrees": 12, "maxDepth": 4}), zoo.ModelSpec("prototypes", "prototypes", {"k": 3, "prototypes": 15, "maxIter": 3}),
 ]
 
 
@@ -73,11 +73,14 @@ def test_faults_of_the_job_are_raised(frame, monkeypatch):
         zoo.fit_all([SPECS[6]], frame)
 
 
-def test_nearest_keeps_a_stated_sample(frame):
-    few = zoo.fit(zoo.ModelSpec("knn", "nearest", {"k": 3, "fit_points": 50}), frame)
-    assert len(few.points) == 50 and few.sampled and not zoo.fit(SPECS[8], frame).sampled
-    again = zoo.fit(zoo.ModelSpec("knn", "nearest", {"k": 3, "fit_points": 50}), frame.repartition(7))
-    assert np.array_equal(few.points, again.points)
+def test_more_points_than_are_sent_are_joined(spark, frame, tmp_path):
+    sent, joined = zoo.fit(SPECS[8], frame), zoo.fit(zoo.ModelSpec("knn", "nearest", {"k": 7, "fit_points": 50}), frame)
+    assert isinstance(joined, zoo.NeighbourFitted) and joined.points.count() == 200
+    joined.save(spark, str(tmp_path / "joined"))
+    want = {r["id"]: r["prob"] for r in sent.score(frame).collect()}
+    for model in (joined, zoo.load(spark, str(tmp_path / "joined"))):
+        got = {r["id"]: r["prob"] for r in model.score(frame).collect()}
+        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
 
 
 def test_cross_validation_is_reproducible(frame):
