@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortwise.functions.bins import cut, value_range
@@ -13,6 +13,7 @@ from cohortwise.operators.prefix import running_totals
 from cohortwise.operators.quantiles import no_nan
 from cohortwise.operators.validate import count_if
 from cohortwise.session import materialize
+from cohortwise.sources.tables import read_parquet
 
 
 def or_zero(part: Column, whole: Column) -> Column:
@@ -157,6 +158,26 @@ def metrics_long(results: DataFrame, id_column: str = "model") -> DataFrame:
     return results.unpivot([id_column], [c for c in results.columns if c != id_column], "metric", "value")
 
 
+def append_metrics(metrics: DataFrame, root: str, at: str, importances: DataFrame | None = None) -> None:
+    """Add one evaluation (a row for each model) to the history under ``root``, with its time, and the importances that belong to it."""
+    metrics.withColumn("evaluated_at", F.lit(at)).write.mode("append").parquet(f"{root}/metrics")
+    if importances is not None:
+        importances.withColumn("evaluated_at", F.lit(at)).write.mode("append").parquet(f"{root}/importances")
+
+
+def metrics_history(spark: SparkSession, root: str) -> DataFrame:
+    """All evaluations under ``root``; FileNotFoundError if there is none."""
+    return read_parquet(spark, f"{root}/metrics")
+
+
+def latest_importances(spark: SparkSession, root: str, top: int | None = None) -> DataFrame:
+    """The importances stored with the newest evaluation that has some, largest first."""
+    stored = read_parquet(spark, f"{root}/importances")
+    newest = stored.agg(F.max("evaluated_at")).first()[0]
+    kept = stored.filter(F.col("evaluated_at") == newest).drop("evaluated_at").orderBy(F.desc("importance"), "feature")
+    return kept.limit(top) if top else kept
+
+
 def metrics_history_summary(history: DataFrame, order: str) -> DataFrame:
     """Number of evaluations and the latest one's metrics."""
     metrics = [c for c in history.columns if c != order]

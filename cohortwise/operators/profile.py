@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cohortwise.operators.quantiles import grouped_quantiles, no_nan
 from cohortwise.operators.validate import count_if
+from cohortwise.operators.wide import blocked_correlation
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -147,17 +148,26 @@ def missing_summary(df: DataFrame) -> DataFrame:
     )
 
 
+# Up to so many columns have one aggregate for each pair.
+WIDE_COLUMNS = 24
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, lower triangle, long form.
 
-    Pairwise complete: a pair skips rows where either value is missing.
+    Pairwise complete: a pair skips rows where either value is missing. More than ``WIDE_COLUMNS``
+    columns, whose pairs no generated code could hold, are multiplied in blocks.
     """
     columns = list(columns or numeric_columns(df))
     if not columns:
         raise ValueError("no numeric columns")
+    if len(columns) > WIDE_COLUMNS:
+        return blocked_correlation(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
     clean = df.select(*[no_nan(F.col(c)).alias(c) for c in columns])
-    wide = clean.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    both = lambda a, b: F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+    # Null where one of the two is constant.
+    wide = clean.agg(*[F.try_divide(F.covar_pop(a, b), both(a, b) * both(b, a)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(
         *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
     )

@@ -109,11 +109,15 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
 
 @dataclass
 class FeatureSelector:
-    """Union of the ``k`` best features by either score, plus forced ones, in table order."""
+    """Union of the ``k`` best features by either score, plus forced ones, in table order.
+
+    Mutual information is estimated by ``neighbours`` nearest neighbours, or over ``bins`` quantile bins if that is None.
+    """
 
     k: int = 50
     forced: Sequence[str] = ()
     bins: int = 10
+    neighbours: int | None = 3
     selected: list[str] | None = None
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> FeatureSelector:
@@ -122,7 +126,12 @@ class FeatureSelector:
             best |= set(features)
         else:
             scored = anova_f(df, features, label).orderBy(F.desc_nulls_last("f_value"), "feature").limit(self.k)
-            informed = mutual_information(df, features, label, self.bins)
+            if self.neighbours:
+                from cohortwise.operators.information import neighbour_information
+
+                informed = neighbour_information(df, features, label, self.neighbours)
+            else:
+                informed = mutual_information(df, features, label, self.bins)
             informed = informed.orderBy(F.desc("mutual_info"), "feature").limit(self.k)
             best |= {r["feature"] for r in scored.collect()} | {r["feature"] for r in informed.collect()}
         self.selected = [c for c in features if c in best]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cohortwise.operators import encode as E
 from cohortwise.operators import scale as S
 from cohortwise.operators import target_encode as T
+from cohortwise.operators.information import neighbour_information
 from cohortwise.operators.joins import join_with_default, keep_members, mark_members
 from cohortwise.operators.split import assign_folds
 from cohortwise.queries.fixtures import fx_docs, fx_items, fx_orders, over, table
@@ -168,6 +169,32 @@ def mutual_info_binned(spark, sf):
     return df.withColumn("mutual_info", F.round("mutual_info", 10))
 
 
+_MI_DOCS = {"n_chars": "n_chars", "rest": "n_chars % 97", "toxic": "toxic"}
+
+
+@query(
+    "mutual_info_neighbours",
+    over(
+        "fx_docs",
+        "WITH l AS ("
+        + " UNION ALL ".join(f"SELECT id, '{n}' AS feature, label AS y, CAST({e} AS DOUBLE) AS x FROM fx_docs WHERE {e} IS NOT NULL AND label IS NOT NULL" for n, e in _MI_DOCS.items())
+        + """), c AS (SELECT feature, y, count(*) AS ny, least(3, count(*) - 1) AS k FROM l GROUP BY ALL HAVING count(*) > 1),
+p AS (SELECT l.*, ny, k FROM l JOIN c USING (feature, y)),
+r AS (SELECT a.feature, a.id, any_value(a.x) AS x, any_value(a.ny) AS ny, any_value(a.k) AS k, list_extract(list_sort(list(abs(a.x - b.x))), any_value(a.k)) AS r
+  FROM p a JOIN p b ON a.feature = b.feature AND a.y = b.y AND a.id <> b.id GROUP BY a.feature, a.id),
+m AS (SELECT r.feature, r.id, any_value(r.ny) AS ny, any_value(r.k) AS k, count(*) AS m FROM r JOIN p ON p.feature = r.feature AND (abs(p.x - r.x) < r.r OR p.x = r.x) GROUP BY r.feature, r.id),
+h AS (SELECT i AS n, sum(CASE WHEN i > 1 THEN 1 / (i - 1)::DOUBLE ELSE 0 END) OVER (ORDER BY i) AS psi FROM range(1, 1 + (SELECT max(n) FROM (SELECT count(*) AS n FROM l GROUP BY feature))) t(i)),
+t AS (SELECT feature, count(*) AS n FROM m GROUP BY feature)
+SELECT m.feature, round(greatest(0.0, any_value(hn.psi) + avg(hk.psi) - avg(hy.psi) - avg(hm.psi)), 7) AS mutual_info
+FROM m JOIN t USING (feature) JOIN h hn ON hn.n = t.n JOIN h hk ON hk.n = m.k JOIN h hy ON hy.n = m.ny JOIN h hm ON hm.n = m.m GROUP BY m.feature""",
+    ),
+)
+def mutual_info_neighbours(spark, sf):
+    """Mutual information by nearest neighbours, of values with and without ties."""
+    df = fx_docs(spark, sf).withColumn("rest", F.col("n_chars") % 97)
+    return neighbour_information(df, list(_MI_DOCS), "label").select("feature", F.round("mutual_info", 7).alias("mutual_info"))
+
+
 @query(
     "join_left_default",
     over(

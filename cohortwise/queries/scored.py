@@ -7,6 +7,7 @@ from cohortwise.operators import metrics as M
 from cohortwise.operators import split as S
 from cohortwise.queries.fixtures import fx_orders, fx_scores, over
 from cohortwise.queries.registry import query
+from cohortwise.session import scratch_path
 
 _HASH = "('0x' || substr(md5(id || '|42'), 1, 8))::BIGINT"
 
@@ -165,6 +166,29 @@ def metrics_history(spark, sf):
     return M.metrics_history_summary(_results(spark, sf), "model")
 
 
+@query(
+    "metrics_history_append",
+    over(
+        "fx_scores",
+        f"""WITH {_CM}, m AS ({_METRICS}), h AS (SELECT 'first' AS evaluated_at, * FROM m UNION ALL SELECT 'second', * FROM m WHERE model < 'm4')
+SELECT model, count(*) AS evaluations, max(evaluated_at) AS latest, round(avg(accuracy), 8) AS accuracy, NULL::DOUBLE AS importance FROM h GROUP BY model
+UNION ALL SELECT * FROM (SELECT model, 0, 'second', 0.0, round(f1_score, 8) FROM m ORDER BY f1_score DESC, model LIMIT 2)""",
+    ),
+)
+def metrics_history_append(spark, sf):
+    """Two evaluations written to a history, read back, with the importances of the second."""
+    results, root = _results(spark, sf).select("model", "accuracy", "precision", "recall", "f1_score"), scratch_path(spark, "history")
+    M.append_metrics(results, root, "first", results.select(F.col("model").alias("feature"), F.col("accuracy").alias("importance")))
+    M.append_metrics(results.filter("model < 'm4'"), root, "second", results.select(F.col("model").alias("feature"), F.col("f1_score").alias("importance")))
+    each = M.metrics_history(spark, root).groupBy("model").agg(
+        F.count(F.lit(1)).alias("evaluations"), F.max("evaluated_at").alias("latest"), F.round(F.avg("accuracy"), 8).alias("accuracy")
+    )
+    kept = M.latest_importances(spark, root, 2).select(
+        F.col("feature").alias("model"), F.lit(0).cast("long").alias("evaluations"), F.lit("second").alias("latest"), F.lit(0.0).alias("accuracy"), F.round("importance", 8).alias("importance")
+    )
+    return each.withColumn("importance", F.lit(None).cast("double")).unionByName(kept)
+
+
 @query(
     "ensemble_weighted",
     over(

@@ -153,10 +153,9 @@ _FAULTY = """SELECT CAST(l_orderkey AS BIGINT) AS id,
 FROM lineitem"""
 
 
-@query("compliance_report", _CHECK_SQL.format(source=_FAULTY, expected="1000").strip())
-def compliance_report(spark, sf):
+def _faulty(spark, sf):
     l = table(spark, sf, "lineitem")
-    faulty = l.select(
+    return l.select(
         F.col("l_orderkey").alias("id"),
         F.when(F.col("l_orderkey") % 89 == 0, F.lit(None))
         .when(F.col("l_quantity") > 45, 2)
@@ -164,7 +163,11 @@ def compliance_report(spark, sf):
         .otherwise(0)
         .alias("prediction"),
     )
-    return V.output_checks(faulty, "id", "prediction", 1000)
+
+
+@query("compliance_report", _CHECK_SQL.format(source=_FAULTY, expected="1000").strip())
+def compliance_report(spark, sf):
+    return V.output_checks(_faulty(spark, sf), "id", "prediction", 1000)
 
 
 @query(
@@ -175,16 +178,46 @@ UNION ALL SELECT CAST(id AS STRING), 'binary_predictions' FROM p WHERE predictio
 UNION ALL SELECT CAST(id AS STRING), 'unique_keys' FROM p GROUP BY id HAVING count(*) > 1""",
 )
 def compliance_offenders(spark, sf):
-    l = table(spark, sf, "lineitem")
-    faulty = l.select(
-        F.col("l_orderkey").alias("id"),
-        F.when(F.col("l_orderkey") % 89 == 0, F.lit(None))
-        .when(F.col("l_quantity") > 45, 2)
-        .when(F.col("l_returnflag") == "R", 1)
-        .otherwise(0)
-        .alias("prediction"),
-    )
-    return V.output_offenders(faulty, "id", "prediction")
+    return V.output_offenders(_faulty(spark, sf), "id", "prediction")
+
+
+_FILE_SQL = f"""WITH t AS ({_CHECK_SQL.format(source=_PREDICTED, expected="1000")}),
+e AS (SELECT 'file_exists' AS "check", TRUE AS passed, CAST(0 AS BIGINT) AS detail UNION ALL SELECT 'csv_format', TRUE, 0
+UNION ALL SELECT 'readable', count(*) > 0, CAST(count(*) = 0 AS BIGINT) FROM fx_orders UNION ALL SELECT * FROM t WHERE "check" <> 'compliant')
+SELECT * FROM e UNION ALL SELECT 'compliant', bool_and(passed), CAST(sum(detail) AS BIGINT) FROM e"""
+
+
+@query("sink_file_checks", over("fx_orders", _FILE_SQL))
+def sink_file_checks(spark, sf):
+    """A written file with another number of rows than wanted."""
+    path = write_predictions(_predicted(spark, sf), scratch_path(spark, "predictions") + ".csv")
+    return V.file_checks(spark, path, "id", "prediction", 1000)
+
+
+_DETAILS = """WITH p AS ({source}), c AS (SELECT count(*) AS n, count(*) FILTER (WHERE id IS NULL) AS k, count(*) FILTER (WHERE prediction IS NULL) AS l,
+  count(*) FILTER (WHERE prediction IS NULL OR prediction NOT IN (0, 1)) AS bad, count(*) FILTER (WHERE prediction = 1) AS ones FROM p),
+d AS (SELECT 'missing' AS part, 'id' AS item, k::DOUBLE AS value FROM c WHERE k > 0 UNION ALL SELECT 'missing', 'prediction', l FROM c WHERE l > 0
+UNION ALL SELECT 'summary', 'total', n FROM c WHERE bad = 0 UNION ALL SELECT 'summary', 'positives', ones FROM c WHERE bad = 0
+UNION ALL SELECT 'summary', 'negatives', n - ones FROM c WHERE bad = 0 UNION ALL SELECT 'summary', 'positive_rate', ones / n FROM c WHERE bad = 0
+UNION ALL SELECT 'invalid', CAST(prediction AS VARCHAR), count(*) FROM p WHERE prediction NOT IN (0, 1) GROUP BY prediction
+UNION ALL SELECT 'repeated', CAST(id AS VARCHAR), count(*) FROM p WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)
+SELECT part, item, round(value, 8) AS value FROM d"""
+
+
+def _details(df):
+    return V.compliance_details(df, "id", "prediction").withColumn("value", F.round("value", 8))
+
+
+@query("compliance_details", _DETAILS.format(source=_FAULTY))
+def compliance_details(spark, sf):
+    """What stands behind a report that fails."""
+    return _details(_faulty(spark, sf))
+
+
+@query("compliance_summary", over("fx_orders", _DETAILS.format(source=_PREDICTED)))
+def compliance_summary(spark, sf):
+    """The same of a table that passes."""
+    return _details(_predicted(spark, sf))
 
 
 @query(
