@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.session import materialize
+from cohortwise.session import materialize, sized
 
 FEATURES = "features"
 LABEL = "label"
@@ -24,7 +24,7 @@ def vectorize(df: DataFrame, features: Sequence[str], label: str | None = None,
 def model_frame(df: DataFrame, features: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """:func:`vectorize`, written to the shared folder once, because training
     reads it many times."""
-    return _with_vector(materialize(_with_array(df, features, label, keep), "frame"))
+    return _with_vector(sized(materialize(_with_array(df, features, label, keep), "frame")))
 
 
 def _with_array(df: DataFrame, features: Sequence[str], label: str | None, keep: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.models.frame import FOLD, LABEL
 from cohortwise.operators.quantiles import grouped_quantiles
-from cohortwise.session import materialize
+from cohortwise.session import materialize, sized
 
 BINS = 32
 # Splits of all runs that may be pending; then the state is written.
@@ -77,7 +77,7 @@ def cells_of(frame: DataFrame, edges: Sequence[Sequence[float]]) -> DataFrame:
     placed = [_bin(i, e) for i, e in enumerate(edges)]
     fold = F.col(FOLD) if FOLD in frame.columns else F.lit(-1)
     rows = frame.select(F.array(*placed).alias("bins"), fold.cast("int").alias("fold"), F.col(LABEL).cast("int").alias("label"))
-    return materialize(rows.groupBy("bins", "fold", "label").agg(F.count(F.lit(1)).cast("double").alias("n")), "cells")
+    return sized(materialize(rows.groupBy("bins", "fold", "label").agg(F.count(F.lit(1)).cast("double").alias("n")), "cells"))
 
 
 def _best(sums: np.ndarray, tie: int = DECIMALS) -> tuple[int, int, int, int, float]:
@@ -120,7 +120,7 @@ def fit_runs(cells: DataFrame, edges: Sequence[Sequence[float]], runs: Sequence[
         if any(run.open for run in runs):
             _round(state, edges, runs, shifts, pending, width)
         if max(map(len, pending)) >= every:
-            state = materialize(_moved(state, pending), "boosted")
+            state = sized(materialize(_moved(state, pending), "boosted"))
             pending = [[] for _ in runs]
         if number in stages:
             marks[number] = _held_out_accuracy(_moved(state, pending), runs)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -296,27 +297,36 @@ def hybrid_predict(
     return {"predictions": out, "audit": R.audit(ruled), "cv": blended["cv"]}
 
 
-def compare_feature_sets(df: DataFrame, roles: Roles = Roles(), spec: zoo.ModelSpec | None = None, k: int = 5) -> DataFrame:
+def compare_feature_sets(df: DataFrame, roles: Roles = Roles(), spec: zoo.ModelSpec | None = None, k: int = 5, parallel: int = search.PARALLEL) -> DataFrame:
     """Cross-validate one fixed model over the feature sets.
 
     Returns one row per set with score, feature count and the gain over the
-    worst set. Family rates are out of fold, so no row sees its own label.
+    worst set. Every statistic of a feature set is fitted anew on the training rows of each fold, side by side; family rates
+    are out of fold, so no row sees its own label.
     """
     spark = df.sparkSession
     spec = spec or zoo.ModelSpec("RandomForest", "random_forest", {"numTrees": 100})
     rated, _ = _rated(df, df, roles, k)
     sets = {
-        "Basic": BasicFeatures(roles),
-        "Enhanced": EnhancedFeatures(roles),
-        "Enhanced + Family": EnhancedFeatures(roles, extra=["FamilySurvivalRate"]),
+        "Basic": lambda: BasicFeatures(roles),
+        "Enhanced": lambda: EnhancedFeatures(roles),
+        "Enhanced + Family": lambda: EnhancedFeatures(roles, extra=["FamilySurvivalRate"]),
     }
-    folds = rated.select(F.col(roles.key).alias("id"), FOLD)
+
+    def one(task: tuple[str, int]) -> tuple[float, int]:
+        name, i = task
+        training, held_out = rated.filter(F.col(FOLD) != i).drop(FOLD), rated.filter(F.col(FOLD) == i).drop(FOLD)
+        features = sets[name]().fit(training)
+        known, asked = (model_frame(features.transform(part), features.names, "label", keep=["id"]) for part in (training, held_out))
+        return search.accuracy(zoo.fit(spec, known).score(asked)), len(features.names)
+
+    tasks = [(name, i) for name in sets for i in range(k)]
+    with ThreadPool(min(parallel, len(tasks))) as pool:
+        found = dict(zip(tasks, pool.map(one, tasks, chunksize=1)))
     rows = []
-    for name, features in sets.items():
-        matrix = features.fit(rated).transform(rated).join(folds, "id")
-        frame = model_frame(matrix, features.names, "label", keep=["id", FOLD])
-        stats = search.summary(search.cross_validate(spec, frame, k))
-        rows.append((name, stats["cv_mean"], stats["cv_std"], len(features.names)))
+    for name in sets:
+        stats = search.summary([found[name, i][0] for i in range(k)])
+        rows.append((name, stats["cv_mean"], stats["cv_std"], found[name, 0][1]))
     worst = min(r[1] for r in rows)
     table = [(n, m, s, c, m - worst) for n, m, s, c in rows]
     return small_table(spark, table, "feature_set string, cv_mean double, cv_std double, features int, gain double")

@@ -27,6 +27,8 @@ def local_session(app: str = "cohortwise", cores: str | int = 8, shuffle_partiti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Python workers import this package too.
+        .config("spark.executorEnv.PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -66,6 +68,19 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of a written table that one task reads where a table is read again and again.
+PARTITION_BYTES = 16 << 20
+
+
+def sized(df: DataFrame, size: int = PARTITION_BYTES) -> DataFrame:
+    """A written table in no more partitions than its bytes need.
+
+    Training reads a table many hundred times, so a small one should not cost many tasks each time; a
+    large one has more files than this asks for and stays as it is.
+    """
+    return df.coalesce(max(1, -(-plan_bytes(df) // size)))
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables this process has materialised; returns their number.
 
