@@ -133,7 +133,7 @@ def test_nested_grid_equals_point_by_point(frame, spec, grid):
 def test_a_forest_is_cut_to_its_first_trees(frame):
     model = zoo.fit(zoo.ModelSpec("forest", "random_forest", {"numTrees": 6, "maxDepth": 3}), frame)
     few = model.first(2)
-    assert few.model.getNumTrees == 2 and few.spec.params["numTrees"] == 2
+    assert len(few.model.trees) == 2 and few.spec.params["numTrees"] == 2
     both = few.score(frame).select("id", "prob").collect()
     alone = [t.transform(frame).select("id", F.element_at(zoo.vector_to_array("probability"), 2).alias("p")).collect() for t in model.model.trees[:2]]
     mean = {a["id"]: (a["p"] + b["p"]) / 2 for a, b in zip(*(sorted(x, key=lambda r: r["id"]) for x in alone))}
