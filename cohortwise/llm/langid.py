@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +20,19 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBEDDING = 8
-# The sample that training may use, documented bounds: labelled rows, and windows taken of each.
+# The sample that training may use, documented bounds: labelled rows, each with its whole text, and bytes of all of them.
 SAMPLE_ROWS = 3000
-SAMPLE_WINDOWS = 3
-_LETTER = re.compile(r"[^\W\d_]")
+SAMPLE_BYTES = 16 << 20
+# Windows seen in training, over all passes, if there are fewer than so many; else each is seen once.
+LEARN_WINDOWS = 40_000
+# More labels than this are no languages.
+MOST_LABELS = 1000
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(id_col: str = "doc_id"):
-    """Rows whose labels are never learned from."""
-    return F.crc32(F.col(id_col).cast("string")) % 5 == 0
+    """Rows whose labels are never learned from; a row without an id is not among them."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,42 +139,55 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def first_by_hash(rows: DataFrame, quota: int) -> DataFrame:
-    """The ``quota`` first rows of each label of (label, deal) by ``deal``, a hash.
+def first_by_hash(rows: DataFrame, quota: int, byte_quota: int) -> DataFrame:
+    """Of each label of (label, deal, size) the first rows by ``deal``, a hash: at most ``quota``, and no more
+    bytes than ``byte_quota`` (but one row at least). Repeated rows count once.
 
     Of a label with many more rows, only those whose hash is small enough for
-    about four times the quota are ranked, so no task sees more than that.
+    about four times the quota are ranked, so no task sees more than that. Should a label
+    come out short for that reason, it is ranked again with a larger share.
     """
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    steps = 1 << 40
-    share = F.lit(0)
-    for label, count in counts.items():
-        share = F.when(F.col("label") == label, F.lit(min(steps, 4 * steps * quota // count))).otherwise(share)
-    few = rows.filter(F.pmod(F.xxhash64("deal"), F.lit(steps)) < share)
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("deal"))
-    return materialize(few.withColumn("rank", rank).filter(F.col("rank") <= quota), "chosen")
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = SAMPLE_ROWS) -> ByteConvNet | None:
+    rows = materialize(rows.select("label", "deal", "size").distinct(), "dealt")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().orderBy("label").limit(MOST_LABELS + 1).collect()}
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} different labels")
+    steps, factor = 1 << 40, 4
+    while True:
+        share = F.lit(0)
+        for label, count in counts.items():
+            share = F.when(F.col("label") == label, F.lit(min(steps, steps * (factor * quota + 64) // count))).otherwise(share)
+        few = rows.filter(F.pmod(F.xxhash64("deal"), F.lit(steps)) < share)
+        order = Window.partitionBy("label").orderBy("deal")
+        ranked = few.withColumns({"rank": F.row_number().over(order), "upto": F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))})
+        ranked = materialize(ranked.filter(F.col("rank") <= quota), "ranked")
+        found = {r["label"]: r["count"] for r in ranked.groupBy("label").count().collect()}
+        if all(found.get(label, 0) >= min(quota, count) for label, count in counts.items()):
+            return ranked.filter((F.col("upto") <= byte_quota) | (F.col("rank") == 1)).drop("upto")
+        factor *= 16
+
+
+def train(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES
+) -> ByteConvNet | None:
     """Fit on a sample of at most ``rows`` labelled rows that are not held out (None if there are none).
 
-    The sample takes rows in the order of a hash of id and text, as many of each label as fit evenly, and
-    up to ``SAMPLE_WINDOWS`` windows spread over each text, so what reaches the driver is bounded. Rows are
+    The sample takes rows in the order of a hash of id and text, as many of each label as fit evenly, with the
+    whole text of each, up to ``size`` bytes in all; repeated rows count once. Rows are
     chosen from their hashes alone; only the chosen ones' bytes leave their place.
     """
     known = docs.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (F.length(text_col) > 0))
     known = known.select(F.col(label_col).alias("label"), F.xxhash64(id_col, text_col).alias("deal"), F.col(text_col).cast("binary").alias("raw"))
-    classes = sorted(r[0] for r in known.select("label").distinct().collect())
+    narrow = known.select("label", "deal", F.octet_length("raw").cast("long").alias("size"))
+    classes = sorted(r[0] for r in narrow.select("label").distinct().limit(MOST_LABELS + 1).collect())
     if not classes:
         return None
-    chosen = first_by_hash(known.select("label", "deal").distinct(), max(1, rows // len(classes)))
-    chunk = F.greatest(F.floor((F.octet_length("raw") - WINDOW) / SAMPLE_WINDOWS), F.lit(0))
-    cuts = [F.substring("raw", (chunk * k + 1).cast("int"), F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)]
-    thin = known.select("label", "deal", F.array_distinct(F.array(*cuts)).alias("cuts"))
-    picked = thin.join(F.broadcast(chosen), ["label", "deal"]).orderBy("label", "rank").limit(rows).collect()
-    pairs = [(bytes(c), classes.index(r["label"])) for r in picked for c in r["cuts"] if len(c)]
-    grid, _ = windows([c for c, _ in pairs])
-    return ByteConvNet.fresh(classes).fit(grid, np.array([n for _, n in pairs]))
+    chosen = first_by_hash(narrow, max(1, rows // len(classes)), size // len(classes))
+    picked = known.join(F.broadcast(chosen), ["label", "deal"]).groupBy("label", "rank").agg(F.min("raw").alias("raw"))
+    pairs = [(bytes(r["raw"]), classes.index(r["label"])) for r in sorted(picked.collect(), key=lambda r: (r["label"], r["rank"]))]
+    grid, owner = windows([raw for raw, _ in pairs])
+    # Of a long text all windows are learned from; the work stays near that of LEARN_WINDOWS windows seen a few times.
+    epochs = max(1, min(4, LEARN_WINDOWS // len(grid)))
+    return ByteConvNet.fresh(classes).fit(grid, np.array([n for _, n in pairs])[owner], epochs=epochs)
 
 
 def identify(docs: DataFrame, model: ByteConvNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

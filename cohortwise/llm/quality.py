@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cohortwise.llm.arrow import pieces
 from cohortwise.llm.langid import first_by_hash, held_out
-from cohortwise.session import materialize
 
 # A passage is this many bytes; the last one of a text may be shorter. An empty text is one empty passage.
 PASSAGE = 512
@@ -21,10 +20,11 @@ BUCKETS = 512
 CLASSES = 8
 HIDDEN = 24
 ATTENTION = 12
-# Documented bound of the labelled rows that training may use, each with its whole text.
+# Documented bounds of the labelled rows that training may use, each with its whole text, and of all their bytes.
 SAMPLE_ROWS = 4000
-# Up to so many bytes of text are trained on in the driver; for more, Spark sums each batch's gradients.
-DRIVER_BYTES = 16 << 20
+SAMPLE_BYTES = 32 << 20
+# Passages of one text that are encoded at once.
+SLICE = 2048
 THRESHOLD = 0.3
 
 _KIND = np.zeros(256, np.uint8)
@@ -84,6 +84,16 @@ class GatedAttention:
     def score(self, x: np.ndarray, owner: np.ndarray) -> np.ndarray:
         return self._forward(x, owner)[5]
 
+    def score_text(self, text: bytes) -> float:
+        """One text of any length, a slice of passages at a time; attention runs over all of them."""
+        w, b, v, u, a, c, d = self.params
+        up, down = np.zeros((1, HIDDEN)), 0.0
+        for start in range(0, max(len(text), 1), SLICE * PASSAGE):
+            h = np.tanh(encode_passages([text[start : start + SLICE * PASSAGE]])[0] @ w + b)
+            e = np.exp(np.clip((np.tanh(h @ v) * _sigmoid(h @ u)) @ a, -20, 20)).astype(float)
+            up, down = up + e.T @ h, down + e.sum()
+        return float(_sigmoid(up / down @ c + d)[0, 0])
+
     def fit(self, rows: int, gradients: Callable[[np.ndarray], list[np.ndarray]], epochs: int = 8, batch: int = 32, rate: float = 3e-3, seed: int = 11) -> GatedAttention:
         """Adam on the logistic loss of whole documents; attention is learned from document labels alone.
 
@@ -122,55 +132,33 @@ class GatedAttention:
         return [x.T @ dh, dh.sum(0), h.T @ dt, h.T @ dg, (t * g).T @ d_logit, z.T @ back, back.sum(0)]
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS, driver_bytes: int = DRIVER_BYTES) -> GatedAttention | None:
-    """Fit on at most ``rows`` labelled rows that are not held out, in the order of a hash of the id (None if there are none).
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> GatedAttention | None:
+    """Fit on at most ``rows`` labelled rows that are not held out, in the order of a hash (None if there are none).
 
-    Each label gets half of the sample as far as it has enough. Labels are
-    chosen first, from narrow rows; only the chosen documents' bytes leave
-    their place, all of them. The loss is not reweighted, so scores are a little low where
+    Each label gets half of the rows and of the ``size`` bytes as far as it has enough, every row with all passages of its
+    text. Rows are chosen from hashes and lengths alone; only the chosen documents' bytes leave their
+    place. The loss is not reweighted, so scores are a little low where
     one label is rare, which the threshold allows for. A document with several
-    labels counts with each.
+    labels counts with each; repeated labels and repeated rows count once.
     """
-    known = labels.filter(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    dealt = known.withColumn("deal", F.xxhash64("id"))
-    chosen = first_by_hash(dealt, rows // 2).drop("rank")
+    known = labels.filter(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(F.xxhash64(id_col).alias("doc"), F.col(label_col).cast("int").alias("label"))
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    thin = docs.select(F.col(id_col).alias("id"), F.col(text_col)).join(F.broadcast(chosen), "id")
-    first = thin.select("label", raw.alias("raw"), "deal").orderBy("deal", "label", F.xxhash64("raw")).limit(rows)
-    picked = materialize(first.select(F.monotonically_increasing_id().alias("no"), "label", "raw"), "picked")
-    narrow = picked.select("no", "label", F.octet_length("raw").cast("long").alias("size")).orderBy("no").collect()
-    if not narrow:
+    thin = docs.filter(F.col(id_col).isNotNull()).select(F.xxhash64(id_col).alias("doc"), raw.alias("raw"))
+    sizes = thin.select("doc", F.xxhash64("doc", "raw").alias("deal"), F.octet_length("raw").cast("long").alias("size"))
+    chosen = first_by_hash(sizes.join(known.distinct(), "doc"), rows // 2, size // 2)
+    own = thin.withColumn("deal", F.xxhash64("doc", "raw"))
+    picked = own.join(F.broadcast(chosen), "deal").groupBy("deal", "label").agg(F.min("raw").alias("raw"))
+    found = sorted(picked.collect(), key=lambda r: (r["deal"], r["label"]))
+    if not found:
         return None
-    model, numbers = GatedAttention.fresh(), [r["no"] for r in narrow]
-    target = np.array([r["label"] for r in narrow], "f4")
-    if sum(r["size"] for r in narrow) <= driver_bytes:
-        texts = [bytes(r["raw"]) for r in picked.orderBy("no").collect()]
-        return model.fit(len(texts), lambda at: model.gradients([texts[i] for i in at], target[at]))
-    return model.fit(len(narrow), lambda at: _summed(picked.filter(F.col("no").isin([numbers[i] for i in at])), model))
-
-
-def _summed(rows: DataFrame, model: GatedAttention) -> list[np.ndarray]:
-    """Gradients of (no, label, raw), summed in the tasks one document at a time; a few kilobytes come back from each."""
-    shapes = [p.shape for p in model.params]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                flat = np.concatenate([g.ravel() for g in model.gradients([text], [label])]).astype("f4")
-                total = flat if total is None else total + flat
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-    parts = [np.frombuffer(bytes(r["sums"]), "f4") for r in rows.select("label", "raw").mapInArrow(run, "sums binary").collect()]
-    cuts = np.split(np.sum(parts, axis=0), np.cumsum([int(np.prod(x)) for x in shapes])[:-1])
-    return [c.reshape(x) for c, x in zip(cuts, shapes)]
+    texts, target, model = [bytes(r["raw"]) for r in found], np.array([r["label"] for r in found], "f4"), GatedAttention.fresh()
+    return model.fit(len(texts), lambda at: model.gradients([texts[i] for i in at], target[at]))
 
 
 def score(docs: DataFrame, model: GatedAttention | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """(id, score) for every row, or with ``keep`` (row, score) with a struct of all columns.
 
-    All passages of the whole text take part; long texts are encoded in parts
+    All passages of the whole text take part; long texts are encoded in slices of passages
     and attention runs over all of them. Null text counts as empty, which is one
     empty passage. Without a model every score is 0.5.
     """
@@ -180,7 +168,12 @@ def score(docs: DataFrame, model: GatedAttention | None, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch, texts in pieces(batches, limit=1 << 20):
-            scores = np.full(len(texts), 0.5) if net is None else net.score(*encode_passages(texts)).astype(float)
+            if net is None:
+                scores = np.full(len(texts), 0.5)
+            elif len(texts) == 1:
+                scores = np.array([net.score_text(texts[0])])
+            else:
+                scores = net.score(*encode_passages(texts)).astype(float)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], batch.schema.names[:1] + ["score"])
 
     if keep:

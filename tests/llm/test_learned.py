@@ -30,7 +30,7 @@ def test_licences_planted_and_given(spark, more, scanner):
     rows = spark.createDataFrame(planted, "doc_id long, text string, family string").select("doc_id", "text", F.col("family").alias("want"))
     found = {(r["doc_id"], r["family"]) for r in licenses.scan(rows, scanner).collect()}
     missed = [(k, f) for k, _, f in planted if (k, f) not in found]
-    assert len(missed) <= 2, missed
+    assert not missed, missed
     lines = {
         "This work is licensed under the GNU General Public License, version 3.": "GPL",
         "Licensed under CC BY-NC 4.0.": "CC-BY-NC",
@@ -39,7 +39,7 @@ def test_licences_planted_and_given(spark, more, scanner):
     }
     want = {(r["doc_id"], n, f) for r in more.collect() for n, line in enumerate(r["text"].split("\n")) for t, f in lines.items() if t in line}
     got = {(r["doc_id"], r["line"], r["family"]) for r in licenses.scan(more, scanner).collect()}
-    assert want <= got and len(got - want) <= 2
+    assert want == got, (want - got, got - want)
 
 
 WRAPPED = {
@@ -125,16 +125,134 @@ def test_quality_odd_rows(spark, odd, empty):
 
 
 def test_quality_learns_from_all_passages(spark, monkeypatch):
-    import numpy as np
-
     texts = [(k, f"{k} " + "word " * 1500 + "junk in the second third " + "end " * 1500) for k in range(12)] + [(12, "x" * 3000)]
     rows = spark.createDataFrame(texts, "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id long, quality int")
     seen, plain = set(), quality.encode_passages
     monkeypatch.setattr(quality, "encode_passages", lambda some: seen.update(some) or plain(some))
-    here = quality.train(rows, labels)
+    quality.train(rows, labels)
     monkeypatch.undo()
     kept = {t.encode() for k, t in texts if not is_held_out(k)}
     assert seen == kept
-    there = quality.train(rows, labels, driver_bytes=0)
-    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(here.params, there.params))
+
+
+def test_a_text_in_slices_scores_as_at_once():
+    model = quality.GatedAttention.fresh()
+    for text in (b"", b"abc", b"some words. " * 300_000):
+        assert model.score_text(text) == pytest.approx(float(model.score(*quality.encode_passages([text]))[0]), abs=1e-4)
+
+
+def test_samples_keep_every_label_when_rows_repeat(spark):
+    """Labels with few ids over many rows, and one document thousands of times, don't crowd others out."""
+    ids = spark.range(4000).select((F.col("id") % 5).alias("doc_id"), F.lit(1).alias("quality"))
+    labels = ids.unionByName(spark.range(100, 4100).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality")))
+    dealt = labels.select(F.col("quality").alias("label"), F.xxhash64("doc_id").alias("deal"), F.lit(1).cast("long").alias("size"))
+    got = {r["label"]: r["count"] for r in langid.first_by_hash(dealt, 50, 1 << 20).groupBy("label").count().collect()}
+    assert got == {0: 50, 1: 5}
+    few = langid.first_by_hash(dealt, 50, 7)
+    assert {r["label"]: r["count"] for r in few.groupBy("label").count().collect()} == {0: 7, 1: 5}
+    own = [(1, "aa aa aa " * 30, "aa")] * 3000 + [(k, f"ein kleiner text {k} und noch einer", "de") for k in range(40)] + [(k, f"the small text {k} and one more", "en") for k in range(40, 80)]
+    docs = spark.createDataFrame(own, "doc_id long, text string, lang string")
+    seen = {}
+
+    class Recorded(langid.ByteConvNet):
+        def fit(self, grid, target, **more):
+            seen.update(zip(*[x.tolist() for x in __import__("numpy").unique(target, return_counts=True)]))
+            return self
+
+    plain = langid.ByteConvNet
+    langid.ByteConvNet = Recorded
+    try:
+        model = langid.train(docs, rows=60)
+    finally:
+        langid.ByteConvNet = plain
+    kept = {label: sum(not is_held_out(k) for k, _, lang in set(own) if lang == label) for label in ("de", "en")}
+    assert model.classes == ["aa", "de", "en"]
+    assert seen[0] == 2 and seen[1] == min(20, kept["de"]) and seen[2] == min(20, kept["en"])
+
+
+def test_languages_learn_from_whole_texts(spark):
+    long = "".join(f"wort{k} " for k in range(4000))
+    docs = spark.createDataFrame([(1, long, "de"), (2, "short text", "en"), (3, "texte court", "fr")], "doc_id long, text string, lang string")
+    rows = []
+
+    class Recorded(langid.ByteConvNet):
+        def fit(self, grid, target, **more):
+            rows.append(len(grid))
+            return self
+
+    plain = langid.ByteConvNet
+    langid.ByteConvNet = Recorded
+    try:
+        langid.train(docs)
+    finally:
+        langid.ByteConvNet = plain
+    sizes = [len(t) for k, t in ((1, long), (2, "short text"), (3, "texte court")) if not is_held_out(k)]
+    assert rows == [sum(-(-n // langid.WINDOW) for n in sizes)]
+
+
+def test_languages_need_a_letter(spark):
+    docs = spark.createDataFrame([(1, "½ ² ① 7"), (2, "Ⅷ"), (3, "ʰ"), (None, "wort")], "doc_id long, text string")
+    model = langid.ByteConvNet.fresh(["de", "en"])
+    got = {r["id"]: r["lang_pred"] for r in langid.identify(docs, model).collect()}
+    assert got[1] == got[2] == "und" and got[3] in model.classes
+    assert [r[0] for r in docs.select(langid.held_out("doc_id")).collect()].count(None) == 0
+
+
+def plain_language(model, text):
+    """The network place by place, without tables or batches."""
+    import numpy as np
+
+    total, weights = np.zeros(len(model.classes)), 0
+    for start in range(0, max(len(text), 1), langid.WINDOW):
+        window = text[start : start + langid.WINDOW].ljust(langid.WINDOW, b"\0")
+        pooled = []
+        for width, one in zip(langid.WIDTHS, model.filters):
+            places = range(langid.WINDOW - max(langid.WIDTHS) + 1)
+            pooled.append(np.max([sum(model.embedding[window[p + i]] @ one[i] for i in range(width)) for p in places], axis=0))
+        logits = np.maximum(np.concatenate(pooled) + model.bias, 0) @ model.weights + model.offset
+        e = np.exp(logits - logits.max())
+        size = sum(b != 0 for b in window)
+        total, weights = total + np.log(e / e.sum() + 1e-9) * size, weights + size
+    e = np.exp(total / weights - (total / weights).max())
+    return model.classes[int(e.argmax())], float(e.max() / e.sum())
+
+
+def test_language_scores_equal_a_plain_network(spark, more):
+    model = langid.train(more)
+    rows = [(1, "Das ist ein Text."), (2, "the " * 150 + "end"), (3, "où est passé l'été ?")]
+    got = {r["id"]: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for i, text in rows:
+        name, score = plain_language(model, text.encode())
+        assert got[i]["lang_pred"] == name and got[i]["score"] == pytest.approx(score, abs=1e-4)
+
+
+def plain_quality(model, text):
+    """Passage by passage: counts of byte pairs and kinds, gate, weighted mean, logistic."""
+    import numpy as np
+
+    w, b, v, u, a, c, d = (p.astype(float) for p in model.params)
+    hidden, gates = [], []
+    for start in range(0, max(len(text), 1), quality.PASSAGE):
+        passage = text[start : start + quality.PASSAGE]
+        x = np.zeros(quality.BUCKETS + quality.CLASSES)
+        for p, q in zip(passage, passage[1:]):
+            at = ((p * 256 + q) * 2654435761 % (1 << 32)) >> (32 - quality.BUCKETS.bit_length() + 1)
+            x[at] += at > 0
+        for byte in passage:
+            x[quality.BUCKETS + int(quality._KIND[byte])] += 1
+        x /= max(len(passage), 1)
+        x = np.sqrt(x)
+        x[quality.BUCKETS :] *= 2
+        h = np.tanh(x @ w + b)
+        hidden.append(h)
+        gates.append(float(np.exp((np.tanh(h @ v) / (1 + np.exp(-(h @ u)))) @ a)[0]))
+    z = sum(g * h for g, h in zip(gates, hidden)) / sum(gates)
+    return 1 / (1 + np.exp(-(z @ c + d)[0]))
+
+
+def test_quality_scores_equal_a_plain_network(spark, more):
+    model = quality.train(more, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = [(1, "A plain text. With 2 sentences!"), (2, "x!x!x! " * 400), (3, ""), (4, "Ünï\tcode\n" * 90)]
+    got = {r["id"]: r["score"] for r in quality.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert all(got[i] == pytest.approx(plain_quality(model, t.encode()), abs=1e-4) for i, t in rows)
