@@ -162,27 +162,26 @@ def _split(rows: DataFrame, forest: list[Tree], plans: list[dict], counts: list[
 
     def run(batches):
         forest, plans, left_out, level = shared.value
+        drawn = [_drawn(plan) if plan else None for plan in plans]
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
         for x, y, fold in _batches(batches):
             out = []
-            for tree, ((feature, threshold, _), plan, out_fold) in enumerate(zip(forest, plans, left_out)):
-                if not plan:
+            for tree, ((feature, threshold, _), lists, out_fold) in enumerate(zip(forest, drawn, left_out)):
+                if lists is None:
                     continue
+                nodes, features, cuts = lists
                 node = route(x, feature, threshold, level)
-                kept = np.flatnonzero(np.isin(node, list(plan)) & (fold != (-2 if out_fold is None else out_fold)))
-                if not len(kept):
-                    continue
-                order, firsts = _grouped(node[kept])
-                order = kept[order]
-                for start, stop in zip(firsts, np.append(firsts[1:], len(order))):
-                    at = order[start:stop]
-                    for f, cut in plan[int(node[at[0]])]:
-                        left = x[at, f] <= cut
-                        ones = int(y[at][left].sum())
-                        out.append((tree, int(node[at[0]]), f, int(left.sum()) - ones, ones))
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], ["tree", "node", "feature", "zero", "one"]
-            )
+                at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+                kept = np.flatnonzero((nodes[at] == node) & (fold != (-2 if out_fold is None else out_fold)))
+                at, own, label = at[kept], x[kept], y[kept]
+                for j in range(features.shape[1]):
+                    f = features[at, j]
+                    left = (f >= 0) & (own[np.arange(len(own)), np.maximum(f, 0)] <= cuts[at, j])
+                    n, ones = np.bincount(at[left], minlength=len(nodes)), np.bincount(at[left], label[left], len(nodes)).astype(np.int64)
+                    some = np.flatnonzero(n)
+                    out.append((np.full(len(some), tree), nodes[some], features[some, j], (n - ones)[some], ones[some]))
+            columns = [np.concatenate(c) for c in zip(*out)] if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["tree", "node", "feature", "zero", "one"])
 
     found = rows.mapInArrow(run, "tree int, node bigint, feature int, zero bigint, one bigint")
     whole = found.groupBy("tree", "node", "feature").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")).collect()
@@ -200,6 +199,16 @@ def _split(rows: DataFrame, forest: list[Tree], plans: list[dict], counts: list[
     return opened
 
 
+def _drawn(plan: dict[int, list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The drawn (feature, threshold) of every node as arrays; nodes with fewer have feature -1."""
+    nodes, width = sorted(plan), max(map(len, plan.values()))
+    features, cuts = np.full((len(nodes), width), -1), np.zeros((len(nodes), width))
+    for i, node in enumerate(nodes):
+        for j, (f, cut) in enumerate(plan[node]):
+            features[i, j], cuts[i, j] = f, cut
+    return np.array(nodes), features, cuts
+
+
 def purity(left: tuple[int, int], whole: tuple[int, int]) -> float:
     """What a split keeps of the squared label shares: larger is purer."""
     right, total = (whole[0] - left[0], whole[1] - left[1]), sum(whole)

@@ -237,6 +237,13 @@ def adaboost_rounds(spark, sf):
     return small_table(spark, rows, "round int, feature int, edge double, left int, right int, error double, alpha double")
 
 
+@query("extra_trees")
+def extra_trees(spark, sf):
+    """Extremely randomised trees of the declared parameters, trained on four folds, scored on the fifth."""
+    train, test = _held_out(_small(spark, sf, 5))
+    return zoo.fit(zoo.EXTRA_TREES, train).score(test).select("id", LABEL, "prob", "prediction")
+
+
 @query("svc_rff")
 def svc_rff(spark, sf):
     train, test = _held_out(_small(spark, sf, 5))
