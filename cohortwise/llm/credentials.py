@@ -31,7 +31,13 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 # A run of hex letters is found faster by its shortest length; shorter runs would be dropped anyway.
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)
 # Line ends may be written as escapes, as in JSON strings.
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1-----")
+_LINE_END = r"(?:\r?\n|(?:\\+r)?\\+n)"
+# Lines with a name and a value may come before the body and end with an empty one.
+_PEM_HEADERS = rf"(?:{_LINE_END}[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*)+"
+_PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----({_PEM_HEADERS})?((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1-----")
+_ENCRYPTED = re.compile(r"DEK-Info:[ \t]*([A-Z0-9-]+),([0-9A-Fa-f]+)")
+# Bytes of a block, by the start of the cipher's name.
+_CIPHER_BLOCKS = {"DES": 8, "AES": 16, "CAMELLIA": 16, "SEED": 16, "IDEA": 8, "RC2": 8, "BF": 8, "CAST5": 8}
 _GAPS = re.compile(r"\s+|\\+[nrt]")
 _JWT = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\[nrt]))eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*(?![A-Za-z0-9_-]|\.[A-Za-z0-9_-])")
 # First letters of the base64 of a DER sequence and of an OpenSSH key; both name their own length.
@@ -42,6 +48,9 @@ _LETTERS = re.compile(r"[A-Za-z0-9+/_-]+")
 _WRAP = re.compile(r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*(?=[A-Za-z0-9+/_-])(?!-----)")
 _BEHIND = re.compile(r"[A-Za-z0-9+/=]|[_-][A-Za-z0-9+/_=-]")
 _HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+# Bytes in hex with separators, as key tools print them, from the first byte of a DER sequence or an OpenSSH key on.
+_HEX_PRINTED = re.compile(r"(?<![0-9A-Fa-f])(?<![0-9A-Fa-f][: ])(?:30|6[Ff])(?:(?::[ \t]*(?:\r?\n[ \t]*)?|[ ])[0-9A-Fa-f]{2}){23,}(?![0-9A-Fa-f]|:[0-9A-Fa-f])")
+_NO_HEX = re.compile(r"[^0-9A-Fa-f]+")
 
 _SEQUENCE, _INTEGER, _BITS, _OCTETS, _OID = 0x30, 0x02, 0x03, 0x04, 0x06
 # Object identifiers (DER content) of key algorithms: RSA, EC, Ed25519, Ed448, X25519, X448, DSA.
@@ -150,6 +159,13 @@ def _key_kind(data: bytes) -> str | None:
     return "der" if is_private_key(data) else "openssh" if is_openssh_key(data) else None
 
 
+def is_encrypted_body(headers: str, data: bytes) -> bool:
+    """Is ``data`` whole blocks of the cipher that the headers name, with a start value of the right size?"""
+    named = _ENCRYPTED.search(headers)
+    block = _CIPHER_BLOCKS.get(named[1].split("-")[0]) if named and "ENCRYPTED" in headers else None
+    return bool(block) and len(named[2]) == 2 * block and len(data) >= block and len(data) % block == 0
+
+
 class _Wrapped:
     """Base64 of either alphabet from a place in a text on, over line ends; read only as far as is asked."""
 
@@ -248,10 +264,10 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
             try:
-                kind = _key_kind(_base64(_GAPS.sub("", m[2])))
+                data = _base64(_GAPS.sub("", m[3]))
             except ValueError:
                 continue
-            if kind:
+            if _key_kind(data) or m[2] and is_encrypted_body(m[2], data):
                 found.append((m.start(), KINDS.index("pem"), m.end()))
                 covered.append((m.start(), m.end()))
     if "eyJ" in text:
@@ -265,6 +281,10 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
         kind = _key_kind(binascii.unhexlify(m[0]))
         if kind:
             found.append((m.start(), KINDS.index(kind), m.end()))
+    for m in _HEX_PRINTED.finditer(text):
+        kind = _key_kind(binascii.unhexlify(_NO_HEX.sub("", m[0])))
+        if kind:
+            found.append((m.start(), KINDS.index(kind), m.end()))
     return found
 
 

@@ -40,24 +40,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @_query("op1_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in the packed sequences."""
     packed = pack.pack_documents(_table(spark, sf_dir, "documents"))
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @_query("op2_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 @_query("op3_secret_scan")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and spans of the secrets in every document."""
     found = credentials.scan(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", F.col("joined").alias("spans"))
 
 
 @_query("op4_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, from a network trained on the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.train(docs))
     return found.select(F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")
@@ -65,6 +69,7 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from labels that are not held out."""
     docs = _table(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
     predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
@@ -73,6 +78,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op6_chat_formatting")
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back, with its loss mask."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = chat.END + chat.START + "assistant ok"
     both = small_table(spark, [(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema.simpleString()[7:-1].replace(",", ", "))
@@ -92,6 +98,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op7_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence passages of all documents."""
     docs = _table(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.LicenseClassifier.train(docs))
 
@@ -106,17 +113,20 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept row and size of the group of equal texts of every document."""
     marked = exact.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep="largest")
     return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 @_query("op9_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents."""
     return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 @_query("op10_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document because they repeat earlier documents."""
     return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 

@@ -78,6 +78,29 @@ def test_broken_keys_in_other_surroundings(key):
             assert c.confirmed_spans(text) == []
 
 
+@pytest.mark.parametrize("key,kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (OPENSSH, "openssh")])
+def test_keys_printed_in_hex(key, kind):
+    pairs = [key.hex()[k : k + 2] for k in range(0, 2 * len(key), 2)]
+    lines = ":\n    ".join(":".join(pairs[k : k + 15]) for k in range(0, len(pairs), 15))
+    for form in (":".join(pairs), ":".join(pairs).upper(), " ".join(pairs), lines):
+        for before, after in (("priv:\n    ", "\npub:"), ("", ""), ("key ", " end.")):
+            assert c.confirmed_spans(before + form + after) == [(len(before), c.KINDS.index(kind), len(before) + len(form))], form[:40]
+    for broken in (pairs[:-1], [*pairs, "00"], ["31", *pairs[1:]]):
+        assert c.confirmed_spans("key " + ":".join(broken) + " end") == []
+
+
+def test_pem_blocks_with_header_lines():
+    for gap in ("\n", "\r\n", "\\n"):
+        for headers in ("Proc-Type: 4,ENCRYPTED" + gap + "DEK-Info: AES-128-CBC," + "0F" * 16, "Proc-Type: 4,ENCRYPTED" + gap + "DEK-Info: DES-EDE3-CBC," + "ab" * 8):
+            body = wrapped(b64(bytes(range(160))), gap)
+            pem = f"-----BEGIN RSA PRIVATE KEY-----{gap}{headers}{gap}{gap}{body}{gap}-----END RSA PRIVATE KEY-----"
+            assert c.confirmed_spans("x " + pem) == [(2, c.KINDS.index("pem"), 2 + len(pem))], (gap, headers)
+            assert c.confirmed_spans(pem.replace("DEK-Info", "Other")) == []
+            assert c.confirmed_spans(pem.replace(body, b64(bytes(range(157))))) == []
+        plain = f"-----BEGIN RSA PRIVATE KEY-----{gap}Comment: mine{gap}{gap}{wrapped(b64(RSA), gap)}{gap}-----END RSA PRIVATE KEY-----"
+        assert c.confirmed_spans(plain) == [(0, c.KINDS.index("pem"), len(plain))]
+
+
 def test_tokens_at_the_end_of_a_sentence():
     for before, after in (("t ", "."), ("t ", ". Next"), ("t=", "..."), ("\\n", "\\n"), ("(", ")."), ("_", ",")):
         assert c.confirmed_spans(before + token() + after) == [(len(before), c.KINDS.index("jwt"), len(before) + len(token()))]
