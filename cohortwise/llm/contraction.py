@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,12 +82,10 @@ def _compress(rested: DataFrame, values: Sequence[str], edge: dict[str, str]) ->
 def _expand(rounds: list[DataFrame], schema, values: Sequence[str], start: DataFrame) -> DataFrame:
     """Totals of all nodes, from the last round to the first. ``rounds[i]`` is what round i began with: it
     has that round's leaves, and the children over which the round before skipped nodes."""
-    known = [start.sparkSession.createDataFrame([], schema).select("node", *values)]
+    known = start.sparkSession.createDataFrame([], schema).select("node", *values)
     for live in reversed(rounds):
-        known.append(live.filter("kids = 0").select("node", *values))
         skipped = live.filter("skipped IS NOT NULL").select(F.col("node").alias("child"), F.col("skipped"), *[f"add_{v}" for v in values])
-        if not skipped.isEmpty():
-            sums = reduce(DataFrame.union, known).withColumnRenamed("node", "child")
-            found = skipped.join(sums, "child").select(F.col("skipped").alias("node"), *[(F.col(v) + F.col(f"add_{v}")).alias(v) for v in values])
-            known.append(materialize(found, "expanded"))
-    return reduce(DataFrame.union, known)
+        with_leaves = known.union(live.filter("kids = 0").select("node", *values))
+        found = skipped.join(with_leaves.withColumnRenamed("node", "child"), "child").select(F.col("skipped").alias("node"), *[(F.col(v) + F.col(f"add_{v}")).alias(v) for v in values])
+        known = materialize(with_leaves.union(found), "totals")
+    return known

@@ -28,10 +28,10 @@ def brute_totals(rows):
 
 def shapes():
     rng = random.Random(5)
-    chain = [(i, i - 1 if i else None, i, 1) for i in range(150)]
+    chain = [(i, i - 1 if i else None, i, 1) for i in range(70)]
     star = [(0, None, 1, 1)] + [(i, 0, i, 1) for i in range(1, 500)]
-    deal = [(i * 7 + 3, None if i == 0 else rng.randrange(max(0, i - 4), i) * 7 + 3, rng.randrange(100), rng.choice([1, None])) for i in range(400)]
-    broom = [(i, i - 1 if i else None, 1, 1) for i in range(60)] + [(100 + i, 59, 2, 1) for i in range(80)] + [(300 + i, 30, 3, 1) for i in range(5)]
+    deal = [(i * 7 + 3, None if i == 0 else rng.randrange(max(0, i - 4), i) * 7 + 3, rng.randrange(100), rng.choice([1, None])) for i in range(200)]
+    broom = [(i, i - 1 if i else None, 1, 1) for i in range(40)] + [(100 + i, 39, 2, 1) for i in range(80)] + [(300 + i, 30, 3, 1) for i in range(5)]
     forest = [(i, None if i % 3 == 0 else i - 1, i, 1) for i in range(90)]
     return {"chain": chain, "star": star, "random": deal, "broom": broom, "forest": forest, "one": [(9, None, 4, 5)], "none": []}
 
