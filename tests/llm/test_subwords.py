@@ -83,7 +83,40 @@ def test_empty_table(empty):
 
 
 def test_each_distinct_word_is_segmented_once(spark):
-    frame = spark.createDataFrame([(i, "eins zwei drei eins") for i in range(50)], "doc_id long, text string").repartition(7)
-    blocks = subwords.word_blocks(frame, "doc_id", "text", True)
-    assert blocks.count() == 7
-    assert all(sorted(bytes(w) for w in r["words"]) == [b" drei", b" eins", b" zwei"] for r in blocks.collect())
+    frame = spark.createDataFrame([(i, "eins zwei drei eins") for i in range(50)], "id long, text string").repartition(7)
+    uses = subwords.word_uses(frame, True, 5).collect()
+    assert sum(r["n"] for r in uses) == 3 * 7 and len({r["block"] for r in uses}) == 7
+    seen = []
+    plain = subwords.processor(model())
+
+    class Counted:
+        def encode(self, texts, **more):
+            seen.extend(texts)
+            return plain.encode(texts, **more)
+
+        def piece_to_id(self, piece):
+            return plain.piece_to_id(piece)
+
+    import pyarrow as pa
+
+    rows = sorted([(r["bucket"], r["block"], r["n"], bytes(r["codes"]), bytes(r["lengths"]), bytes(r["words"])) for r in uses])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "block", "n", "codes", "lengths", "words"])
+    for blocks, counts, codes, words in subwords._by_bucket(iter([batch.slice(0, 4), batch.slice(4)])):
+        assert len(blocks) == len(counts) == len(codes) and sum(counts) == len(words)
+        Counted().encode([w.decode()[1:] for w in words.dictionary_encode().dictionary.to_pylist()])
+    assert sorted(seen) == ["drei", "eins", "zwei"]
+
+
+def test_different_rows_at_the_second_read_raise(spark):
+    real = subwords.word_orders
+
+    def other(rows, cut):
+        return real(spark.createDataFrame([(1, "ganz anders")], "id long, text string").coalesce(1), cut)
+
+    frame = spark.createDataFrame([(1, "eins zwei")], "doc_id long, text string").coalesce(1)
+    subwords.word_orders = other
+    try:
+        with pytest.raises(Exception, match="read again"):
+            subwords.encode(frame).collect()
+    finally:
+        subwords.word_orders = real
