@@ -19,17 +19,23 @@ from pyspark.sql import functions as F
 from cohortwise.session import materialize
 
 PIVOTS = 256
-# Points and probes that meet in one task at most, about.
+# More points get more pivots, one for so many points, so that a probe's cells don't grow with the table.
+CELL_POINTS = 2_000
+MOST_PIVOTS = 4_096
+# Points and probes that meet in one group at most, about.
 BLOCK = 20_000
+# Pairs of points and probes that one task compares, about.
+TASK_PAIRS = 500_000_000
 # Squared distances that agree in so many decimals are ties: the smaller point, value by value, is nearer.
 DECIMALS = 9
 
 _FOUND = "values array<double>, near array<struct<d2: double, point: array<double>, n: double, y: double>>"
 
 
-def choose_pivots(points: DataFrame, count: int = PIVOTS) -> np.ndarray:
+def choose_pivots(points: DataFrame, count: int | None = None) -> np.ndarray:
     """Pivots for the cells: the first distinct points by hash, at most ``count``, found below a threshold of the hash."""
     total, steps = points.count(), 1 << 40
+    count = count or min(MOST_PIVOTS, max(PIVOTS, total // CELL_POINTS))
     few = points.filter(F.pmod(F.xxhash64("values"), F.lit(steps)) < min(steps, 4 * steps * count // max(total, 1)))
     rows = few.select("values", F.pmod(F.xxhash64("values"), F.lit(steps)).alias("h")).orderBy("h", "values").limit(count).collect()
     if not rows:
@@ -45,6 +51,11 @@ def _stacked(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks] or [np.zeros(0)]).reshape(-1, width)
 
 
+def _rows(places: np.ndarray) -> int:
+    """Rows whose distances to all pivots are held at once."""
+    return max(1, BLOCK * PIVOTS // max(PIVOTS, len(places)))
+
+
 def _placed(df: DataFrame, pivots: np.ndarray, columns: Sequence[str], schema: str) -> DataFrame:
     """``columns`` with the nearest pivot's number and distance."""
     shared = df.sparkSession.sparkContext.broadcast(pivots)
@@ -52,8 +63,8 @@ def _placed(df: DataFrame, pivots: np.ndarray, columns: Sequence[str], schema: s
     def run(batches):
         places = shared.value
         for batch in batches:
-            for start in range(0, len(batch), BLOCK):
-                part = batch.slice(start, BLOCK)
+            for start in range(0, len(batch), _rows(places)):
+                part = batch.slice(start, _rows(places))
                 d = _distances(_stacked(pa.chunked_array([part.column(0)]), places.shape[1]), places)
                 cell = d.argmin(1)
                 yield pa.RecordBatch.from_arrays(
@@ -89,17 +100,24 @@ def _search(k: int, width: int):
     return run
 
 
-def _meet(points: DataFrame, visits: DataFrame, blocks: dict[int, int], k: int, width: int) -> DataFrame:
-    """(values, near) of probes (values, cell) with all blocks of their cells."""
+def _meet(points: DataFrame, visits: DataFrame, sizes: dict[int, int], k: int, width: int) -> DataFrame:
+    """(values, near) of probes (values, cell) with all blocks of their cells; ``sizes`` has the points of each cell.
+
+    There are as many tasks as the pairs to compare need.
+    """
     spark = points.sparkSession
+    blocks = {c: math.ceil(n / BLOCK) for c, n in sizes.items()}
     counts = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # one row a pivot
     groups = {c: math.ceil(n / BLOCK) for c, n in counts.items()}
+    pairs = sum(n * sizes.get(c, 0) for c, n in counts.items())
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(pairs / TASK_PAIRS))
     table = F.broadcast(spark.createDataFrame([(c, blocks[c], groups.get(c, 1)) for c in blocks], "cell int, blocks int, groups int"))
     sides = F.pmod(F.xxhash64("values"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("values", F.lit(1)), F.col("groups")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = points.join(table, "cell").withColumn("block", sides[0]).withColumn("of", every("groups"))
     right = visits.join(table, "cell").withColumn("of", sides[1]).withColumn("block", every("blocks"))
     left, right = left.select("cell", "block", "of", "values", "n", "y"), right.select("cell", "block", "of", "values")
+    left, right = left.repartition(tasks, "cell", "block", "of"), right.repartition(tasks, "cell", "block", "of")
     return left.groupBy("cell", "block", "of").cogroup(right.groupBy("cell", "block", "of")).applyInArrow(
         lambda a, b: _search(k, width)(a, b), _FOUND
     )
@@ -111,7 +129,7 @@ def _nearest(found: DataFrame, k: int) -> DataFrame:
     return found.groupBy("values").agg(ordered.alias("near"))
 
 
-def neighbours(points: DataFrame, probes: DataFrame, k: int, pivots: int = PIVOTS) -> DataFrame:
+def neighbours(points: DataFrame, probes: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
     """(values, near) for each distinct ``values`` of ``probes``: its ``k`` nearest points, nearest first, exactly.
 
     ``points`` has (values, n, y): distinct value arrays, the rows and positive labels of each; ``near``
@@ -124,14 +142,14 @@ def neighbours(points: DataFrame, probes: DataFrame, k: int, pivots: int = PIVOT
     width = places.shape[1]
     points = materialize(_placed(points, places, ["values", "n", "y"], "values array<double>, n double, y double"), "cells")
     stats = {r["cell"]: r for r in points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect()}
-    blocks = {c: math.ceil(r["n"] / BLOCK) for c, r in stats.items()}
+    sizes = {c: r["n"] for c, r in stats.items()}
     asked = materialize(_placed(probes.select("values").distinct(), places, ["values"], "values array<double>"), "probes")
     # Only cells with points: a pivot is a point, so each has one at least, itself.
-    first = materialize(_nearest(_meet(points, asked, blocks, k, width), k), "first")
+    first = materialize(_nearest(_meet(points, asked, sizes, k, width), k), "first")
     bound = F.aggregate("near", F.lit(0.0), lambda acc, x: acc + x["n"])
     reach = F.when(bound >= k, F.sqrt(F.element_at(F.transform("near", lambda x: x["d2"]), -1))).otherwise(F.lit(math.inf))
     visits = _visits(asked.join(first.select("values", reach.alias("reach")), "values"), places, stats)
-    second = _meet(points, materialize(visits, "visits"), blocks, k, width)
+    second = _meet(points, materialize(visits, "visits"), sizes, k, width)
     return _nearest(first.unionByName(second), k)
 
 
@@ -143,8 +161,8 @@ def _visits(asked: DataFrame, places: np.ndarray, stats: dict) -> DataFrame:
     def run(batches):
         places, low, high, apart = shared.value
         for batch in batches:
-            for start in range(0, len(batch), BLOCK):
-                part = batch.slice(start, BLOCK)
+            for start in range(0, len(batch), _rows(places)):
+                part = batch.slice(start, _rows(places))
                 own, reach = part.column(1).to_numpy(), part.column(2).to_numpy(zero_copy_only=False)[:, None] + 1e-6
                 d = _distances(_stacked(pa.chunked_array([part.column(0)]), places.shape[1]), places)
                 mine, between = d[np.arange(len(d)), own][:, None], apart[own]
