@@ -111,3 +111,14 @@ def test_other_parameters_and_one_label(spark):
     assert model.model.getSubsamplingRate() == 0.5 and len(model.model.trees) == 3
     same = zoo.fit(zoo.ModelSpec("forest", "random_forest", {"numTrees": 3}), frame.withColumn(LABEL, F.lit(1)))
     assert set(_probs(same, frame)) == {1.0}
+
+
+def test_edges_of_long_features_are_exact_and_not_sorted_whole(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [[float(a), float(b), float(c), 1.0] for a, b, c in zip(rng.exponential(size=50_000), rng.integers(0, 90, 50_000), np.where(rng.random(50_000) < 0.6, 7.0, rng.normal(size=50_000)))]
+    rows[5][0] = float("nan")
+    frame = spark.createDataFrame([(r,) for r in rows], "values array<double>").repartition(3)
+    whole = stumps.bin_edges(frame)
+    monkeypatch.setattr(stumps, "grouped_quantiles", None)
+    for got, want in zip(stumps.bin_edges(frame, direct_rows=40_000), whole, strict=True):
+        assert got == pytest.approx(want)
