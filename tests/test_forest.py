@@ -122,3 +122,15 @@ def test_edges_of_long_features_are_exact_and_not_sorted_whole(spark, monkeypatc
     monkeypatch.setattr(stumps, "grouped_quantiles", None)
     for got, want in zip(stumps.bin_edges(frame, direct_rows=40_000), whole, strict=True):
         assert got == pytest.approx(want)
+
+
+def test_boosting_of_cells_equals_boosting_of_rows(spark, monkeypatch):
+    frame, spec = _frame(spark), zoo.ModelSpec("gbt", "boosted_trees", {"maxIter": 6, "maxDepth": 3})
+    frame = frame.unionByName(frame.filter("id % 3 = 0"))
+    plain = zoo.NativeFitted(spec, zoo.native_estimator(spec).fit(frame))
+    seen, real = [], forest.cells_of
+    monkeypatch.setattr(forest, "cells_of", lambda *a: seen.append(real(*a)) or seen[-1])
+    model = zoo.fit(spec, frame)
+    assert seen[0].count() < frame.count()
+    assert _probs(model, frame) == pytest.approx(_probs(plain, frame))
+    assert model.model.featureImportances.toArray() == pytest.approx(plain.model.featureImportances.toArray())
