@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+import math
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.session import materialize, small_table
+from cohortwise.session import materialize, sized, small_table
 
 UNKNOWN = "unknown"
 # Sentences by which licence families are known.
@@ -42,17 +43,18 @@ TEMPLATES = (
 )
 # Words of a window; longer paragraphs are cut into windows that overlap by half.
 PARAGRAPH_WORDS = 60
-FEATURES = 1 << 12
-_EMPTY_LINES = r"(?:^|\n)\d+\t[^\p{L}\p{N}\n]*(?=\n|$)"
+# With the pattern of a line's number, if lines have one.
+_NUMBER = r"\d+\t"
+_EMPTY_LINES = r"(?:^|\n)%s[^\p{L}\p{N}\n]*(?=\n|$)"
 # The number of a line and comment marks that are made of letters.
-_LINE_START = r"(?i)^\d+\t(?:\s*(?:dnl|rem|c)\s)?"
+_LINE_START = r"(?i)^%s(?:\s*(?:dnl|rem|c)\s)?"
 # A prediction is confirmed when a template of the family shares this part of its words (and pairs of words) with the paragraph.
 CONFIRM = 0.7
-# Paragraphs of the corpus that each template is also set into for training.
-SURROUNDINGS = 8
-# Documented bound of the paragraphs of the corpus that training and calibration may use, each about half of them, and of the documents they come from.
+# What all background paragraphs weigh together, at most, and how many of them each template's settings among their words weigh.
 BACKGROUND = 2000
-BACKGROUND_DOCUMENTS = 4000
+SURROUNDINGS = 8
+# Background cells that hold this share of the paragraphs meet every template, others one, dealt by hash, with as much more weight.
+EVERY_SHARE = 0.001
 # Share of background paragraphs that may pass for a licence, from which the threshold of the unknown class is calibrated.
 FALSE_SHARE = 0.001
 
@@ -72,24 +74,32 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     # Each line is led by its number, so that paragraphs know theirs once the text is cut.
     numbered = F.array_join(F.transform(F.split(text, "\n"), lambda t, i: F.concat(i.cast("string"), F.lit("\t"), t)), "\n")
-    blocks = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(numbered, _EMPTY_LINES)).alias("block"))
+    blocks = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(numbered, _EMPTY_LINES % _NUMBER)).alias("block"))
     if only is not None:
-        marks = F.array(*[F.lit(w) for w in sorted(only)])
-        blocks = blocks.filter(F.arrays_overlap(words(F.col("block")), marks))
+        blocks = blocks.filter(F.exists(words(F.col("block")), lambda w: w.isin(sorted(only))))
 
-    def of_line(numbered_line: Column) -> Column:
-        number = F.substring_index(numbered_line, "\t", 1).cast("int")
-        return F.transform(words(F.regexp_replace(numbered_line, _LINE_START, "")), lambda w: F.struct(number.alias("line"), w.alias("word")))
+    def of_line(line: Column) -> Column:
+        number = F.substring_index(line, "\t", 1).cast("int")
+        return F.transform(words(F.regexp_replace(line, _LINE_START % _NUMBER, "")), lambda w: F.struct(number.alias("line"), w.alias("word")))
 
     lined = blocks.select("doc_id", F.transform(F.split("block", "\n"), of_line).alias("each"))
-    units = F.when(F.size("each") > 1, F.concat(F.array(F.flatten("each")), F.col("each"))).otherwise(F.col("each"))
-    cut = lined.select("doc_id", F.explode(units).alias("all")).filter(F.size("all") > 0)
+    cut = lined.select("doc_id", F.explode(_units()).alias("all")).filter(F.size("all") > 0)
+    parts = cut.select("doc_id", F.posexplode(F.transform(_starts(), lambda k: F.slice("all", k + 1, PARAGRAPH_WORDS))).alias("part", "some"))
+    # Inlined, so that words are taken out of their pairs with lines once and not wherever they are used.
+    found = parts.select("doc_id", "part", F.inline(F.array(F.struct(F.col("some.word").alias("words"), F.col("some.line").alias("lines")))))
+    return found if only is None else found.filter(F.exists("words", lambda w: w.isin(sorted(only))))
+
+
+def _units() -> Column:
+    """A paragraph of several lines as a whole and each of its lines, from the lines' words in ``each``."""
+    return F.when(F.size("each") > 1, F.concat(F.array(F.flatten("each")), F.col("each"))).otherwise(F.col("each"))
+
+
+def _starts() -> Column:
+    """Where the windows of the words in ``all`` start, from 0."""
     half = PARAGRAPH_WORDS // 2
     last = F.greatest(F.ceil((F.size("all") - PARAGRAPH_WORDS) / half), F.lit(0)).cast("int")
-    starts = F.sequence(F.lit(0), last)
-    parts = cut.select("doc_id", F.posexplode(F.transform(starts, lambda k: F.slice("all", k * half + 1, PARAGRAPH_WORDS))).alias("part", "some"))
-    found = parts.select("doc_id", "part", F.col("some.word").alias("words"), F.col("some.line").alias("lines"))
-    return found if only is None else found.filter(F.arrays_overlap("words", marks))
+    return F.sequence(F.lit(0), last * half, F.lit(half))
 
 
 def anchors(templates=TEMPLATES, confirm: float = CONFIRM) -> set[str]:
@@ -106,72 +116,139 @@ def anchors(templates=TEMPLATES, confirm: float = CONFIRM) -> set[str]:
     return found
 
 
+def vocabulary(templates=TEMPLATES) -> list[str]:
+    """The templates' words, and pairs of words as they follow each other."""
+    found: set[str] = set()
+    for _, text in templates:
+        own = "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split()
+        found |= {*own, *(f"{a} {b}" for a, b in zip(own, own[1:]))}
+    return sorted(found)
+
+
+def _known(word_list: Column, terms: list[str]) -> Column:
+    """The words, null where they are not among the ``terms``."""
+    return F.transform(word_list, lambda w: F.when(w.isin([t for t in terms if " " not in t]), w))
+
+
+def _following(known: Column, terms: list[str]) -> Column:
+    """The pair with the next word at each place, null where it is not among the ``terms``."""
+    pairs = F.transform(known, lambda w, i: F.when(w.isNotNull(), F.concat(w, F.lit(" "), F.get(known, i + 1))))
+    return F.transform(pairs, lambda p: F.when(p.isin([t for t in terms if " " in t]), p))
+
+
+def _each_once(known: Column, following: Column) -> Column:
+    return F.sort_array(F.array_distinct(F.array_compact(F.concat(known, following))))
+
+
+def held(word_list: Column, terms: list[str]) -> Column:
+    """Which of the ``terms``, words and pairs of words, these words hold, each once and in order."""
+    pairs = [t for t in terms if " " in t]
+    firsts = sorted({t.split(" ")[0] for t in pairs})
+    following = F.transform(word_list, lambda w, i: F.when(w.isin(firsts), F.concat(w, F.lit(" "), F.get(word_list, i + 1))))
+    return _each_once(F.filter(word_list, lambda w: w.isin([t for t in terms if " " not in t])), F.filter(following, lambda p: p.isin(pairs)))
+
+
+def held_cells(docs: DataFrame, terms: list[str], text_col: str = "text") -> DataFrame:
+    """(held, first, n): how many windows of all ``paragraphs`` hold the same terms, by half.
+
+    A paragraph and its lines are of the same half, dealt by a hash of its text. Terms are looked up before windows are cut.
+    """
+    blocks = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), _EMPTY_LINES % "")).alias("block"))
+    known = F.transform(F.split("block", "\n"), lambda line: _known(words(F.regexp_replace(line, _LINE_START % "", "")), terms))
+    lined = blocks.select((F.pmod(F.xxhash64("block"), F.lit(2)) == 0).alias("first"), known.alias("each"))
+    cut = lined.select("first", F.explode(_units()).alias("all")).filter(F.size("all") > 0)
+    paired = cut.select("first", "all", _following(F.col("all"), terms).alias("following"))
+
+    def window(start: Column) -> Column:
+        return _each_once(F.slice("all", start + 1, PARAGRAPH_WORDS), F.slice("following", start + 1, PARAGRAPH_WORDS - 1))
+
+    parts = paired.select("first", F.explode(F.transform(_starts(), window)).alias("held"))
+    return parts.groupBy("held", "first").agg(F.count(F.lit(1)).alias("n"))
+
+
 class LicenseClassifier:
-    """Sparse logistic regression on hashed words and pairs of words, with a calibrated threshold for the unknown class."""
+    """Sparse logistic regression on the templates' words and pairs of words, with a calibrated threshold for the unknown class."""
 
-    def __init__(self, stages, families: list[str], threshold: float):
-        self.stages, self.families, self.threshold = stages, families, threshold
+    def __init__(self, terms: list[str], model, families: list[str], threshold: float):
+        self.terms, self.model, self.families, self.threshold = terms, model, families, threshold
 
     @staticmethod
-    def _features() -> Pipeline:
-        return Pipeline(
-            stages=[
-                NGram(n=2, inputCol="words", outputCol="pairs"),
-                HashingTF(inputCol="words", outputCol="f1", numFeatures=FEATURES, binary=True),
-                HashingTF(inputCol="pairs", outputCol="f2", numFeatures=FEATURES, binary=True),
-                VectorAssembler(inputCols=["f1", "f2"], outputCol="features"),
-            ]
-        )
+    def _features(table: DataFrame, terms: list[str]) -> DataFrame:
+        return CountVectorizerModel.from_vocabulary(terms, inputCol="held", outputCol="features").transform(table)
 
     @classmethod
     def train(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> LicenseClassifier:
-        """Learn families from template sentences, whole, with one word left out and between other words, and the unknown class from paragraphs of the corpus.
+        """Learn families from template sentences, whole, with one word left out and between other words, and the unknown class from all paragraphs of the corpus.
 
-        Documents and then their paragraphs are chosen by the size of a hash, which needs no order; those that hold two
-        anchor words are left out, as they may be licence texts. Half of
-        them train the class, the other half sets the threshold.
+        Paragraphs that hold the same terms are one cell with a count, which trains as its rows would. Those with two
+        anchor words are left out, as they may be licence texts. Half of the others
+        train the class and surround the templates, the other half sets the threshold.
         """
-        spark = docs.sparkSession
+        spark, terms = docs.sparkSession, vocabulary(templates)
         families = [UNKNOWN, *sorted({f for f, _ in templates})]
-        seeds = small_table(spark, [(float(families.index(f)), t) for f, t in templates], "label double, text string")
-        seeds = seeds.select("label", words(F.col("text")).alias("words"))
-        gap = seeds.select("label", "words", F.explode(F.sequence(F.lit(0), F.size("words"))).alias("k"))
-        known = gap.select("label", F.filter("words", lambda w, i: i != F.col("k")).alias("words"))
-        marks = F.array(*[F.lit(w) for w in sorted(anchors(templates))])
-        few = _below(docs, F.xxhash64(text_col, id_col), BACKGROUND_DOCUMENTS, docs.count())
-        plain = paragraphs(few, id_col, text_col).select("words", F.xxhash64("words").alias("deal"))
-        plain = materialize(plain.filter(F.size(F.array_intersect("words", marks)) < 2), "plain")
-        some = _below(plain, F.xxhash64(F.lit("some"), "deal"), 2 * BACKGROUND, plain.count())
-        first = F.pmod(F.shiftright("deal", 3), F.lit(2)) == 0
-        around = [(list(r["words"]),) for r in some.filter(first).orderBy("deal").limit(SURROUNDINGS).collect()]
-        if around:
-            third = PARAGRAPH_WORDS // 3
-            inside = F.concat(F.slice("around", 1, third), F.col("words"), F.slice("around", third + 1, PARAGRAPH_WORDS))
-            mixed = seeds.crossJoin(F.broadcast(small_table(spark, around, "around array<string>")))
-            known = known.unionByName(mixed.select("label", F.slice(inside, 1, PARAGRAPH_WORDS).alias("words")))
-        table = materialize(known.unionByName(some.filter(first).select(F.lit(0.0).alias("label"), "words")), "licences")
-        features = cls._features().fit(table)
-        weight = F.when(F.col("label") == 0, 1.0).otherwise(2.0)
+        seeds = small_table(spark, [(k, float(families.index(f)), t) for k, (f, t) in enumerate(templates)], "k int, label double, text string")
+        seeds = seeds.select("k", "label", words(F.col("text")).alias("words"))
+        gap = seeds.select("label", "words", F.explode(F.sequence(F.lit(0), F.size("words"))).alias("gap"))
+        table = gap.select("label", held(F.filter("words", lambda w, i: i != F.col("gap")), terms).alias("held"), F.lit(2.0).alias("weight"))
+        cells = materialize(held_cells(docs, terms, text_col), "cells")
+        plain = cells.filter(F.size(F.filter("held", lambda t: t.isin(sorted(anchors(templates))))) < 2)
+        rows = {r["first"]: r["n"] for r in plain.groupBy("first").agg(F.sum("n").alias("n")).collect()}
+        if some := rows.get(True, 0):
+            host, count = plain.filter("first"), len(templates)
+            large = F.col("n") >= EVERY_SHARE * some
+            met = F.when(large, F.sequence(F.lit(0), F.lit(count - 1))).otherwise(F.array(F.pmod(F.xxhash64("held"), F.lit(count)).cast("int")))
+            met = host.select("held", F.when(large, F.col("n")).otherwise(F.col("n") * count).alias("n"), F.explode(met).alias("k"))
+            own = seeds.select("k", "label", held(F.col("words"), terms).alias("own"))
+            share = F.col("n") * (2.0 * min(SURROUNDINGS, some) / some)
+            mixed = met.join(F.broadcast(own), "k").select("label", F.array_union("own", "held").alias("held"), share.alias("weight"))
+            unknown = host.select(F.lit(0.0).alias("label"), "held", (F.col("n") * (min(BACKGROUND, some) / some)).alias("weight"))
+            table = table.unionByName(mixed).unionByName(unknown)
+        table = sized(materialize(table, "licences"))
         regression = LogisticRegression(maxIter=40, regParam=1e-3, elasticNetParam=0.5, family="multinomial", weightCol="weight")
-        model = regression.fit(features.transform(table).withColumn("weight", weight))
-        self = cls((features, model), families, 0.5)
-        rest = self._scored(some.filter(~first)).agg(F.percentile("probability", 1 - FALSE_SHARE)).first()[0]
-        self.threshold = max(0.5, float(rest or 0))
+        self = cls(terms, regression.fit(cls._features(table, terms)), families, 0.5)
+        if rest := rows.get(False, 0):
+            scored = self._rated(plain.filter(~F.col("first"))).select("probability", "n")
+            self.threshold = _quantile(materialize(scored, "scored"), 1 - FALSE_SHARE, rest, 0.5)
         return self
 
-    def _scored(self, table: DataFrame) -> DataFrame:
-        """Add ``probability`` of being a licence of any family, and ``chances``, those of each family."""
-        features, model = self.stages
-        out = model.transform(features.transform(table)).withColumn("__p", vector_to_array("probability"))
-        out = out.drop("probability", "rawPrediction", "prediction", "features", "f1", "f2", "pairs")
+    def _rated(self, table: DataFrame) -> DataFrame:
+        """Add ``probability`` of being a licence of any family, and ``chances``, those of each family, to rows with what they hold."""
+        out = self.model.transform(self._features(table, self.terms)).withColumn("__p", vector_to_array("probability"))
+        out = out.drop("probability", "rawPrediction", "prediction", "features", "held")
         names = F.array(*[F.lit(f) for f in self.families[1:]])
-        return out.withColumns({"probability": 1 - F.col("__p")[0], "chances": F.map_from_arrays(names, F.slice("__p", 2, len(self.families)))}).drop("__p")
+        chances = F.map_from_arrays(names, F.slice("__p", 2, len(self.families)))
+        # Inlined, so that a filter of the probability does not run the model again.
+        return out.select("*", F.inline(F.array(F.struct((1 - F.col("__p")[0]).alias("probability"), chances.alias("chances"))))).drop("__p")
+
+    def _scored(self, table: DataFrame) -> DataFrame:
+        """The same for rows with words."""
+        return self._rated(table.withColumn("held", held(F.col("words"), self.terms)))
+
+
+def _quantile(scored: DataFrame, share: float, rows: int, least: float) -> float:
+    """The interpolated quantile of ``probability`` over lines that stand for ``n`` rows each, ``rows`` in all, at least ``least``.
+
+    Each round counts the rows of some thousand steps and goes on with the step that has the wanted rank, until it holds one value.
+    """
+    position = share * (rows - 1)
+    above = scored.filter(F.col("probability") > least).agg(F.sum("n")).first()[0] or 0
+    if rows - above > math.ceil(position):
+        return least
 
+    def at(rank: int) -> float:
+        low, high, before, steps = 0.0, 1.0, 0, 4096
+        while low < high:
+            step = F.least(F.floor((F.col("probability") - low) / (high - low) * steps), F.lit(steps - 1))
+            part = scored.filter(F.col("probability").between(low, high)).groupBy(step.alias("step"))
+            for r in part.agg(F.sum("n").alias("n"), F.min("probability").alias("low"), F.max("probability").alias("high")).orderBy("step").collect():
+                low, high = r["low"], r["high"]
+                if before + r["n"] > rank:
+                    break
+                before += r["n"]
+        return low
 
-def _below(df: DataFrame, deal: Column, wanted: int, rows: int) -> DataFrame:
-    """About ``wanted`` of the ``rows`` rows: those whose hash ``deal`` is small enough."""
-    steps = 1 << 40
-    return df.filter(F.pmod(deal, F.lit(steps)) < min(steps, steps * wanted // max(rows, 1)))
+    low, high = at(math.floor(position)), at(math.ceil(position))
+    return max(least, low + (high - low) * (position - math.floor(position)))
 
 
 def _pairs(word_list: Column) -> Column:
