@@ -39,6 +39,17 @@ def test_folds_are_boosted_in_one_run_and_see_a_share_of_the_rows(spark, monkeyp
     assert np.mean(np.abs(np.subtract(_probs(models["gbt", 1], kept), _probs(plain, kept)))) < 0.06
 
 
+def test_rows_without_a_fold_are_seen_by_runs_over_all_rows_only(spark, monkeypatch):
+    frame, seen, real = _frame(spark, 200), [], boost.fit_runs
+    monkeypatch.setattr(boost, "fit_runs", lambda *a: real(*a) or seen.append(a[2]))
+    frame, spec = frame.withColumn(FOLD, F.when(F.col("id") >= 50, F.col(FOLD))), SPEC.with_params(maxIter=1, subsamplingRate=1.0)
+    for limit in (boost.LOCAL, 0):
+        monkeypatch.setattr(boost, "LOCAL", limit)
+        search.fit_folds([spec], frame, [0, None])
+    kept = frame.filter(F.col(FOLD) != 0).count()
+    assert [[run.trees[0].counts[0, 0] for run in runs] for runs in seen] == [[kept, 200], [kept, 200]]
+
+
 def test_boosting_with_all_rows_equals_spark(spark):
     frame = _frame(spark)
     frame = frame.unionByName(frame.filter("id % 3 = 0"))
