@@ -259,3 +259,54 @@ def test_extra_trees_differ_and_predict(frame):
     assert search.accuracy(model.score(frame.filter(F.col(FOLD) == 0))) > 0.6
     means, fits = search.chain_means(spec, frame, [{"numTrees": 5}, {"numTrees": 30}], 4)
     assert fits == 4 and means[1] == pytest.approx(statistics.fmean(search.cross_validate(spec, frame, 4)))
+
+
+def test_a_random_search_draws(frame):
+    models = zoo.fit_all([zoo.ModelSpec("DecisionTree", "tree", {"maxDepth": 4})], frame)
+    grid = {"DecisionTree": {"maxDepth": [1, 2, 5, 8], "minSplit": [2, 20, 60]}}
+    every = search.combinations(grid["DecisionTree"])
+    drawn = [r["params"] for r in search.tune(models, frame, grid, 4, n_iter=5)[1].collect()]
+    assert len(set(drawn)) == 5 and set(drawn) < {str(o) for o in every}
+    # A grid that is no larger than the draws is drawn too.
+    whole = [r["params"] for r in search.tune(models, frame, grid, 4, n_iter=50)[1].collect()]
+    assert sorted(whole) == sorted(map(str, every)) and whole != list(map(str, every))
+
+
+def test_the_random_search_has_more_points_than_draws():
+    sizes = {n: len(search.combinations(g)) for n, g in search.RANDOM_GRIDS.items()}
+    assert sizes == {"DecisionTree": 160, "KNN": 30}
+
+
+def test_smallest_nodes_to_split_come_from_one_fit(frame):
+    spec = zoo.ModelSpec("tree", "tree", {"maxDepth": 4})
+    options = search.combinations({"maxDepth": [2, 6], "minSplit": [2, 10, 40]})
+    means, fits = search.chain_means(spec, frame, options, 4)
+    assert fits == 4 and len(set(means)) > 2
+    assert means == pytest.approx([statistics.fmean(search.cross_validate(spec.with_params(**o), frame, 4)) for o in options])
+    nodes = zoo.tree_nodes(frame.sparkSession, zoo.fit(spec.with_params(maxDepth=6, minSplit=40), frame).model)
+    whole = zoo.tree_nodes(frame.sparkSession, zoo.fit(spec.with_params(maxDepth=6), frame).model)
+    assert (nodes[5][nodes[0] >= 0] >= 40).all() and len(nodes[0]) < len(whole[0]) and nodes[1][0] == whole[1][0]
+
+
+@pytest.mark.parametrize("pivots, block", [(1, 20_000), (9, 40), (64, 7)])
+def test_neighbours_by_manhattan_distance_equal_brute_force(spark, monkeypatch, pivots, block):
+    from cohortwise.models import neighbours
+
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    points = {tuple(p) for p in rng.integers(0, 6, (250, 3)).astype(float).tolist()} | {tuple(p) for p in rng.normal(3, 1, (150, 3)).round(3).tolist()}
+    probes = list(points)[:60] + [tuple(p) for p in rng.normal(3, 4, (60, 3)).round(3).tolist()] + [(99.0, 99.0, 99.0)]
+    left = spark.createDataFrame([(list(p), 1.0, 0.0) for p in points], "values array<double>, n double, y double")
+    right = spark.createDataFrame([(list(p),) for p in probes], "values array<double>")
+    got = {tuple(r["values"]): [(x["d2"], tuple(x["point"])) for x in r["near"]] for r in neighbours.neighbours(left, right, 5, pivots, p=1).collect()}
+    for probe in probes:
+        want = sorted((round(sum(abs(a - b) for a, b in zip(p, probe)) ** 2, 9), p) for p in points)[:5]
+        assert [d for d, _ in got[probe]] == pytest.approx([d for d, _ in want])
+
+
+def test_both_metrics_are_searched_where_points_are_joined(frame):
+    spec = zoo.ModelSpec("KNN", "nearest", {"k": 5, "weights": "uniform"})
+    options = search.combinations({"k": [3, 5], "metric": ["euclidean", "manhattan", "minkowski"]})
+    joined, fits = search.chain_means(spec.with_params(fit_points=0), frame, options, 4)
+    assert fits == 8 and joined == pytest.approx(search.chain_means(spec, frame, options, 4)[0], abs=0.02)
+    assert joined[0] == joined[2] and joined[3] == joined[5]
