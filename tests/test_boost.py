@@ -137,3 +137,13 @@ def test_stored_boosted_trees_score_the_same(spark, tmp_path):
     model.save(spark, str(tmp_path / "m"))
     assert _probs(zoo.load(spark, str(tmp_path / "m")), frame) == _probs(model, frame)
     assert len(model.first(2).model.trees) == 2
+
+
+def test_boosting_without_a_share_of_rows_takes_cells_too(spark, monkeypatch):
+    frame = _frame(spark)
+    spec = zoo.ModelSpec("gbt", "boosted_trees", {"maxIter": 8, "stepSize": 0.2, "maxDepth": 4})
+    plain = zoo.NativeFitted(spec, zoo.native_estimator(spec).fit(frame))
+    calls, real = [], boost.fit_runs
+    monkeypatch.setattr(boost, "fit_runs", lambda *a: calls.append(a) or real(*a))
+    model = zoo.fit(spec, frame)
+    assert len(calls) == 1 and _probs(model, frame) == pytest.approx(_probs(plain, frame), abs=1e-4)

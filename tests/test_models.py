@@ -246,3 +246,29 @@ def test_job_queries_use_the_declared_sets(monkeypatch):
     assert (of("stacking_oof", "fit_stacked")["bases"], calls["fit_stacked"]["k"]) == (zoo.BASE_MODELS, 5)
     for query in ("evaluate_models", "voting_soft"):
         assert of(query, "fit_all")["specs"] == zoo.BASE_MODELS
+
+
+def test_bins_are_found_once_for_all_models_of_a_fold(frame, monkeypatch):
+    from cohortwise.models import forest, stumps
+
+    found, cells, edges, real = [], [], stumps.bin_edges, forest.cells_of
+    monkeypatch.setattr(stumps, "bin_edges", lambda *a: found.append(a) or edges(*a))
+    monkeypatch.setattr(forest, "cells_of", lambda *a: cells.append(a) or real(*a))
+    specs = [
+        zoo.ModelSpec("forest", "random_forest", {"numTrees": 2, "maxDepth": 3}), zoo.ModelSpec("gbt", "boosted_trees", {"maxIter": 2, "maxDepth": 3}),
+        zoo.ModelSpec("other", "random_forest", {"numTrees": 3, "maxDepth": 2}),
+    ]
+    models = search.fit_folds(specs, frame, [0, 1])
+    assert len(models) == 6 and len(found) == len(cells) == 2
+    assert search.accuracy(models["gbt", 1].score(frame)) > 0.7
+
+
+def test_margins_from_one_step_equal_those_of_spark(frame):
+    from pyspark.ml.functions import vector_to_array
+
+    for params in ({"kernel": "rbf"}, {"kernel": "linear"}):
+        model = zoo.fit(zoo.ModelSpec("svc", "svc", {**params, "maxIter": 5}), frame)
+        mapped = zoo._mapped(model.spec, frame, model.gamma, model.size)
+        want = {r["id"]: r["m"] for r in model.svm.transform(mapped).select("id", vector_to_array("rawPrediction")[1].alias("m")).collect()}
+        got = {r["id"]: r["__margin"] for r in model.margins(frame).collect()}
+        assert got == pytest.approx(want, rel=1e-9, abs=1e-12)

@@ -310,3 +310,23 @@ def test_both_metrics_are_searched_where_points_are_joined(frame):
     joined, fits = search.chain_means(spec.with_params(fit_points=0), frame, options, 4)
     assert fits == 8 and joined == pytest.approx(search.chain_means(spec, frame, options, 4)[0], abs=0.02)
     assert joined[0] == joined[2] and joined[3] == joined[5]
+
+
+def test_stumps_are_the_same_in_one_task_and_dealt(frame, monkeypatch):
+    edges, rounds = stumps.bin_edges(frame), []
+    cells, real = stumps.cells_of(frame, edges), stumps._round
+
+    def boosted():
+        runs = [stumps.Run(1.0), stumps.Run(0.3, 1), stumps.Run(0.7, 3)]
+        return runs, stumps.fit_runs(cells, edges, runs, 12, [4, 12])
+
+    monkeypatch.setattr(stumps, "_round", lambda *a: rounds.append(1) or real(*a))
+    here, marks = boosted()
+    assert not rounds
+    monkeypatch.setattr(stumps, "LOCAL", 0)
+    dealt, again = boosted()
+    assert len(rounds) == 12 and marks.keys() == again.keys()
+    for a, b in zip(here, dealt):
+        assert a.stumps == b.stumps and a.alphas == pytest.approx(b.alphas) and a.errors == pytest.approx(b.errors) and a.open == b.open
+    for stage in marks:
+        assert marks[stage][0] is None and marks[stage][1:] == pytest.approx(again[stage][1:])
